@@ -112,8 +112,8 @@ def content_sha256(text: Column) -> Column:
 
 
 def clamp01(x: Column) -> Column:
-    """``max(0, min(1, x))``."""
-    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), x))
+    """``max(0, min(1, x))``; NULL stays NULL (``greatest``/``least`` skip NULLs)."""
+    return F.when(x.isNotNull(), F.greatest(F.lit(0.0), F.least(F.lit(1.0), x)))
 
 
 def ngrams_1_3(tokens: Column) -> Column:

@@ -74,26 +74,31 @@ def perplexity(df: DataFrame, id_col: str, model: BigramModel, params: Params,
 
 
 def burstiness(text: Column) -> Column:
-    """Population std / (mean + 1e-9) of sentence word counts; 0.0 under 2 sentences."""
+    """Population std / (mean + 1e-9) of sentence word counts; 0.0 under 2 sentences.
+
+    The word-count array and its mean are let-bound (``transform(array(v), f)[0]``)
+    so each is computed once per row, not once per element of the inner lambda."""
     wc = F.transform(T.sentences(text), lambda s: T.word_count(s).cast("double"))
-    return _burst(wc)
+    return F.transform(F.array(wc), _burst)[0]
 
 
 def _burst(wc: Column) -> Column:
     n = F.size(wc).cast("double")
     mean = F.aggregate(wc, F.lit(0.0), lambda a, x: a + x) / n
-    var = F.aggregate(wc, F.lit(0.0), lambda a, x: a + (x - mean) * (x - mean)) / n
-    return F.when(F.size(wc) < 2, F.lit(0.0)).otherwise(F.sqrt(var) / (mean + F.lit(EPS)))
+
+    def from_mean(m: Column) -> Column:
+        var = F.aggregate(wc, F.lit(0.0), lambda a, x: a + (x - m) * (x - m)) / n
+        return F.sqrt(var) / (m + F.lit(EPS))
+
+    return F.when(F.size(wc) < 2, F.lit(0.0)).otherwise(F.transform(F.array(mean), from_mean)[0])
 
 
 def ai_score(df: DataFrame, id_col: str, ppl: DataFrame, params: Params, text_col: str = "text") -> DataFrame:
     """D3+D4: ``(id, perplexity, burstiness, ai_probability, ai_label)``; perplexity rounded to 1,
     the rest to 3; the label tests the unrounded score."""
     b = df.select(id_col, burstiness(F.col(text_col)).alias("b"))
-    raw = F.greatest(F.lit(0.0), F.least(
-        F.lit(1.0),
-        (F.lit(1.0) - F.col("perplexity") / F.lit(float(params.ai_ppl_scale))) * F.lit(0.6)
-        + (F.lit(1.0) - F.col("b")) * F.lit(0.4)))
+    raw = T.clamp01((F.lit(1.0) - F.col("perplexity") / F.lit(float(params.ai_ppl_scale))) * F.lit(0.6)
+                    + (F.lit(1.0) - F.col("b")) * F.lit(0.4))
     ai, human = params.ai_labels
     return (b.join(ppl, id_col, "left")
             .select(id_col, F.round("perplexity", 1).alias("perplexity"),
