@@ -24,6 +24,7 @@ from sifter.operators import embedding as E
 from sifter.operators import lexical as L
 from sifter.operators import scoring as S
 from sifter.operators import vectors as V
+from sifter.operators.common import by_key, materialize
 from sifter.params import DEFAULT, Params
 from sifter.plans import analysis as A
 from sifter.session import shared_dir
@@ -41,6 +42,12 @@ def docs(spark, sf):
     return table(spark, sf, "documents").select("doc_id", "text")
 
 
+def docs_by_id(spark, sf):
+    """The corpus hash-partitioned by doc_id (see ``common.by_key``), for queries that run
+    operators directly; the plans in ``sifter.plans`` partition their own inputs."""
+    return by_key(table(spark, sf, "documents"), "doc_id", "text")
+
+
 def bench(spark, sf):
     return table(spark, sf, "benchmark").select("item_id", "text")
 
@@ -69,55 +76,55 @@ def vectors(spark, sf):
 # --------------------------------------------------------------------------- text (T*)
 
 def q_normalize_text(spark, sf):
-    return docs(spark, sf).select("doc_id", T.normalize(F.col("text")).alias("normalized"))
+    return docs_by_id(spark, sf).select("doc_id", T.normalize(F.col("text")).alias("normalized"))
 
 
 def q_tokenize(spark, sf):
-    d = docs(spark, sf).select("doc_id", T.raw_tokens(T.normalize(F.col("text"))).alias("t"))
+    d = docs_by_id(spark, sf).select("doc_id", T.raw_tokens(T.normalize(F.col("text"))).alias("t"))
     return d.select("doc_id", F.size("t").cast("long").alias("n_tokens"), F.array_join("t", " ").alias("tokens"))
 
 
 def q_preprocess_tokens(spark, sf):
     kept = F.filter(T.raw_tokens(T.normalize(F.col("text"))), lambda t: T.keep_token(t, P))
-    d = docs(spark, sf).select("doc_id", kept.alias("k"))
+    d = docs_by_id(spark, sf).select("doc_id", kept.alias("k"))
     return d.select("doc_id", F.size("k").cast("long").alias("n_kept"), F.array_join("k", " ").alias("kept"))
 
 
 def q_lemmatize(spark, sf):
     kept = F.filter(T.raw_tokens(T.normalize(F.col("text"))), lambda t: T.keep_token(t, P))
-    toks = docs(spark, sf).select(F.explode(kept).alias("token"))
+    toks = docs_by_id(spark, sf).select(F.explode_outer(kept).alias("token")).where(F.col("token").isNotNull())
     return (toks.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
             .select("token", T.lemma(F.col("token")).alias("lemma"), "n"))
 
 
 def q_preprocess_text(spark, sf):
-    d = docs(spark, sf).select("doc_id", T.lemmas(F.col("text"), P).alias("l"))
+    d = docs_by_id(spark, sf).select("doc_id", T.lemmas(F.col("text"), P).alias("l"))
     return d.select("doc_id", F.array_join("l", " ").alias("processed"), F.size("l").cast("long").alias("n_lemmas"))
 
 
 def q_split_sentences(spark, sf):
-    return (C.sentence_rows(docs(spark, sf), "doc_id")
+    return (C.sentence_rows(docs_by_id(spark, sf), "doc_id")
             .select("doc_id", F.col("sent_no").cast("long").alias("sent_no"), "sent"))
 
 
 def q_sentence_lengths(spark, sf):
-    return (C.sentence_rows(docs(spark, sf), "doc_id")
+    return (C.sentence_rows(docs_by_id(spark, sf), "doc_id")
             .select("doc_id", F.col("sent_no").cast("long").alias("sent_no"),
                     F.col("n_words").cast("long").alias("n_words")))
 
 
 def q_content_keys(spark, sf):
-    return K.content_keys(docs(spark, sf), K.model_id(P)).select("doc_id", "text_sha256", "cache_key")
+    return K.content_keys(docs_by_id(spark, sf), K.model_id(P)).select("doc_id", "text_sha256", "cache_key")
 
 
 # --------------------------------------------------------------------------- chunking (C*)
 
 def q_chunk_documents(spark, sf):
-    return C.chunk_documents(docs(spark, sf), "doc_id", P)
+    return C.chunk_documents(docs_by_id(spark, sf), "doc_id", P)
 
 
 def q_chunk_stats(spark, sf):
-    ch = C.chunk_documents(docs(spark, sf), "doc_id", P)
+    ch = C.chunk_documents(docs_by_id(spark, sf), "doc_id", P)
     return ch.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_chunks"),
                                     F.sum("n_words").cast("long").alias("total_words"),
                                     F.max("n_words").cast("long").alias("max_words"))
@@ -129,13 +136,17 @@ def _processed(df: DataFrame, id_col: str) -> DataFrame:
     return L.with_processed(df, P).select(id_col, "processed")
 
 
+def _corpus_processed(spark, sf) -> DataFrame:
+    return _processed(docs_by_id(spark, sf), "doc_id")
+
+
 def q_ngram_counts(spark, sf):
-    return L.term_counts(_processed(docs(spark, sf), "doc_id"), "doc_id")
+    return L.term_counts(_corpus_processed(spark, sf), "doc_id")
 
 
 def _lex(spark, sf):
     return L.tfidf_similarity(L.term_counts(_processed(bench(spark, sf), "item_id"), "item_id"),
-                              L.term_counts(_processed(docs(spark, sf), "doc_id"), "doc_id"),
+                              L.term_counts(_corpus_processed(spark, sf), "doc_id"),
                               "item_id", "doc_id", P)
 
 
@@ -144,32 +155,32 @@ def q_tfidf_pair_similarity(spark, sf):
 
 
 def q_minhash_signature(spark, sf):
-    sig = L.minhash_signatures(_processed(docs(spark, sf), "doc_id"), "doc_id", P)
+    sig = L.minhash_signatures(_corpus_processed(spark, sf), "doc_id", P)
     return L.signature_slots(sig, "doc_id").select("doc_id", "slot", F.col("val").alias("minhash"))
 
 
 def q_minhash_similarity(spark, sf):
     q = L.minhash_signatures(_processed(bench(spark, sf), "item_id"), "item_id", P)
-    d = L.minhash_signatures(_processed(docs(spark, sf), "doc_id"), "doc_id", P)
+    d = L.minhash_signatures(_corpus_processed(spark, sf), "doc_id", P)
     return L.minhash_similarity(q, d, "item_id", "doc_id", P)
 
 
 def q_jaccard_similarity(spark, sf):
-    j = L.jaccard_similarity(_processed(bench(spark, sf), "item_id"), _processed(docs(spark, sf), "doc_id"),
+    j = L.jaccard_similarity(_processed(bench(spark, sf), "item_id"), _corpus_processed(spark, sf),
                              "item_id", "doc_id", P)
     return j.select("item_id", "doc_id", "shared", F.round("jaccard", 9).alias("jaccard"))
 
 
 def q_minhash_lsh_candidates(spark, sf):
     q = L.minhash_signatures(_processed(bench(spark, sf), "item_id"), "item_id", P)
-    d = L.minhash_signatures(_processed(docs(spark, sf), "doc_id"), "doc_id", P)
+    d = L.minhash_signatures(_corpus_processed(spark, sf), "doc_id", P)
     return LSH.band_candidates(q, d, "item_id", "doc_id", P)
 
 
 # --------------------------------------------------------------------------- embeddings (E*)
 
 def q_hash_embedding(spark, sf):
-    h = E.hashed_counts(docs(spark, sf), "doc_id", P)
+    h = E.hashed_counts(docs_by_id(spark, sf), "doc_id", P)
     return h.select("doc_id", "bucket", "cnt", F.col("weight").cast("double").alias("weight"))
 
 
@@ -179,7 +190,7 @@ def q_mean_pool(spark, sf):
 
 
 def q_embed_with_cache(spark, sf):
-    ch = C.chunk_documents(docs(spark, sf), "doc_id", P).select("doc_id", "chunk_no", F.col("chunk").alias("text"))
+    ch = C.chunk_documents(docs_by_id(spark, sf), "doc_id", P).select("doc_id", "chunk_no", F.col("chunk").alias("text"))
     path = f"{shared_dir(spark)}/embedding_cache"
     out = K.embed_with_cache(ch, P, path)
     return out.select("doc_id", "chunk_no", "text_sha256", "emb")
@@ -189,7 +200,7 @@ def q_embed_with_cache(spark, sf):
 
 def q_normalize_vectors(spark, sf):
     v = vectors(spark, sf).select("vec_id", V.l2_normalize(F.col("emb")).alias("u"))
-    return v.select("vec_id", F.posexplode("u").alias("dim", "value")).select(
+    return v.select("vec_id", F.posexplode_outer("u").alias("dim", "value")).where(F.col("dim").isNotNull()).select(
         "vec_id", "dim", F.col("value").cast("double").alias("value"))
 
 
@@ -211,7 +222,7 @@ def q_vector_topk_lsh(spark, sf):
 
 def q_doc_semantic_similarity(spark, sf):
     r = S.doc_cosines(A.doc_embeddings(bench(spark, sf), "item_id", P),
-                      A.doc_embeddings(docs(spark, sf), "doc_id", P), "item_id", "doc_id", P)
+                      A.doc_embeddings(docs_by_id(spark, sf), "doc_id", P), "item_id", "doc_id", P)
     return r.select("item_id", "doc_id", F.round("doc_cos", 6).alias("doc_cos"))
 
 
@@ -219,7 +230,7 @@ def q_doc_semantic_similarity(spark, sf):
 
 def q_corpus_semantic_hits(spark, sf):
     h = S.chunk_hits(A.prepare_chunks(bench(spark, sf), "item_id", P),
-                     A.prepare_chunks(docs(spark, sf), "doc_id", P), "item_id", "doc_id", P)
+                     A.prepare_chunks(docs_by_id(spark, sf), "doc_id", P), "item_id", "doc_id", P)
     return h.select("item_id", "doc_id", F.round("hit_mean", 6).alias("hit_mean"), "n_hits")
 
 
@@ -253,7 +264,7 @@ def q_corpus_top10(spark, sf):
 def _pairs(spark, sf):
     lex = _lex(spark, sf).withColumn("lex9", F.round("lex", 9))
     top = S.rank_top(lex, "item_id", "lex9", "doc_id", PAIRS_PER_QUERY)
-    return top.select(F.col("item_id").alias("a_id"), F.col("doc_id").alias("b_id"))
+    return materialize(top.select(F.col("item_id").alias("a_id"), F.col("doc_id").alias("b_id")))
 
 
 def _pair_chunks(spark, sf):

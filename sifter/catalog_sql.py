@@ -29,7 +29,7 @@ def _raw_tokens(text: str) -> str:
 def _kept(text: str) -> str:
     stop = "[" + ", ".join(s(w) for w in P.stopwords) + "]"
     return (f"list_filter({_raw_tokens(text)}, lambda t: length(t) >= {P.min_token_chars} "
-            f"AND regexp_matches(t, {s(T.LETTER_RE)}) AND NOT list_contains({stop}, t))")
+            f"AND NOT list_contains({stop}, t))")
 
 
 LEX = [processed_cte("qp", "benchmark", "item_id"), processed_cte("dp", "documents", "doc_id"),

@@ -26,14 +26,16 @@ LETTER_RE = "[a-z]"
 VECTOR_TOKEN_RE = "[\\p{L}\\p{N}]+"  # tokens seen by the hashing encoder / language model
 TFIDF_TOKEN_RE = "[\\p{L}\\p{N}_]{2,}"  # runs of at least two word characters
 
-# Default lemma rules: (token must match, minimum token length, suffix, replacement).
-# The first matching rule wins; tokens matching none are their own lemma.
-LEMMA_RULES: tuple[tuple[str, int, str, str], ...] = (
-    ("ies$", 5, "ies$", "y"),
-    ("sses$", 5, "sses$", "ss"),
-    ("[^sui']s$", 4, "s$", ""),
-    ("^.*[aeiouy].*ing$", 6, "ing$", ""),
-    ("^.*[aeiouy].*ed$", 5, "ed$", ""),
+# Default lemma rules: (suffix, minimum token length, extra condition regex or None,
+# replacement of the suffix). The first matching rule wins; tokens matching none
+# are their own lemma. The suffix test is a cheap ``endswith``; the regex runs
+# only on tokens that already end with the suffix.
+LEMMA_RULES: tuple[tuple[str, int, str | None, str], ...] = (
+    ("ies", 5, None, "y"),
+    ("sses", 5, None, "ss"),
+    ("s", 4, "[^sui']s$", ""),
+    ("ing", 6, "[aeiouy].*ing$", ""),
+    ("ed", 5, "[aeiouy].*ed$", ""),
 )
 
 
@@ -55,22 +57,25 @@ def word_count(s: Column) -> Column:
 def raw_tokens(norm: Column) -> Column:
     """Token surface forms of normalised text (apostrophe runs trimmed, possessive cut)."""
     return F.transform(F.regexp_extract_all(norm, F.lit(TOKEN_RE), 0),
-                       lambda t: F.regexp_replace(t, CLITIC_RE, ""))
+                       lambda t: F.when(F.instr(t, "'") > 0, F.regexp_replace(t, CLITIC_RE, "")).otherwise(t))
 
 
 def keep_token(t: Column, params: Params) -> Column:
-    """Not a stopword, has a letter, longer than 2 characters (surface form)."""
-    return ((F.length(t) >= params.min_token_chars)
-            & t.rlike(LETTER_RE)
-            & ~t.isin(list(params.stopwords)))
+    """Longer than 2 characters, not a stopword, has a letter (surface form).
+
+    After ``raw_tokens`` a non-empty token starts with a letter, so the length test
+    already implies T4 (no token made of punctuation only is left)."""
+    return (F.length(t) >= params.min_token_chars) & ~t.isin(list(params.stopwords))
 
 
 def lemma(t: Column, rules=LEMMA_RULES) -> Column:
     """Rule lemmatiser (first matching suffix rule)."""
     out = None
-    for match_re, min_len, suffix_re, repl in rules:
-        cond = t.rlike(match_re) & (F.length(t) >= min_len)
-        val = F.regexp_replace(t, suffix_re, repl)
+    for suffix, min_len, extra_re, repl in rules:
+        cond = t.endswith(suffix) & (F.length(t) >= min_len)
+        if extra_re is not None:
+            cond = cond & t.rlike(extra_re)
+        val = F.concat(t.substr(F.lit(1), F.length(t) - len(suffix)), F.lit(repl))
         out = F.when(cond, val) if out is None else out.when(cond, val)
     return t if out is None else out.otherwise(t)
 

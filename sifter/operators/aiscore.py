@@ -54,7 +54,7 @@ def fit_bigram_model(train: DataFrame, params: Params, text_col: str = "text") -
              .groupBy(F.col("p.w1").alias("w1"), F.col("p.w2").alias("w2"))
              .agg(F.count(F.lit(1)).alias("c12")))
     contexts = pairs.groupBy("w1").agg(F.sum("c12").alias("c1"))
-    vocab = toks.select(F.explode("t").alias("w")).agg(F.countDistinct("w").alias("v")).first()["v"]
+    vocab = toks.select(F.explode_outer("t").alias("w")).agg(F.countDistinct("w").alias("v")).first()["v"]
     return BigramModel(pairs, contexts, int(vocab or 0) + 1, params.lm_add_k)
 
 

@@ -64,7 +64,8 @@ def with_sentences(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 def sentence_rows(docs: DataFrame, id_col: str, text_col: str = "text") -> DataFrame:
     """``(id, sent_no, sent, n_words)`` one row per sentence, ``sent_no`` from 0."""
-    return (docs.select(id_col, F.posexplode(T.sentences(F.col(text_col))).alias("sent_no", "sent"))
+    return (docs.select(id_col, F.posexplode_outer(T.sentences(F.col(text_col))).alias("sent_no", "sent"))
+            .where(F.col("sent_no").isNotNull())
             .withColumn("n_words", T.word_count(F.col("sent"))))
 
 
@@ -79,7 +80,9 @@ def chunk_documents(docs: DataFrame, id_col: str, params: Params, text_col: str
     d = with_sentences(docs.select(id_col, text_col), text_col)
     d = d.withColumn("b", F.when(F.size("sents") > 0, bounds(F.col("wc")))
                      .otherwise(F.array(F.struct(none.alias("s"), none.alias("e")))))
-    rows = d.select(id_col, text_col, "sents", "wc", F.posexplode("b").alias("chunk_no", "r"))
+    # posexplode_outer: a plain generator would make the optimizer infer size(b) > 0 and
+    # push a copy of the whole sentence/UDF pipeline below the exchange as a filter
+    rows = d.select(id_col, text_col, "sents", "wc", F.posexplode_outer("b").alias("chunk_no", "r"))
     cnt = F.col("r.e") - F.col("r.s") + 1
     whole = F.col("r.s").isNull()
     return rows.select(

@@ -17,3 +17,26 @@ def bounded_broadcast(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
 
 def rename_id(df: DataFrame, src: str, dst: str) -> DataFrame:
     return df if src == dst else df.withColumnRenamed(src, dst)
+
+
+def by_key(df: DataFrame, key: str, *cols: str) -> DataFrame:
+    """``df[key, *cols]`` hash-partitioned by ``key``.
+
+    Used once at the start of a corpus plan: the one exchange is reused by every
+    branch that reads the corpus (the plan holds the same subtree), it spreads the
+    per-row text work evenly over all tasks whatever the input file layout, and
+    every later per-document aggregate (``groupBy(key, ...)``, joins on ``key``)
+    finds its input already clustered and adds no shuffle."""
+    return df.select(key, *cols).repartition(key)
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Cut the lineage of a small driving table that several later jobs read (e.g. a
+    pair list derived from a ranking): a reliable checkpoint into the session's
+    ``spark.checkpoint.dir`` (a shared folder on a cluster), so each later job reads
+    the stored rows instead of recomputing the ranking, and a lost executor does
+    not force the ranking to be redone."""
+    from sifter.session import shared_dir
+
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

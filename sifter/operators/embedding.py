@@ -88,7 +88,8 @@ def embed(df: DataFrame, params: Params, text_col: str = "text", out_col: str =
 def hashed_counts(df: DataFrame, id_col: str, params: Params, text_col: str = "text") -> DataFrame:
     """Sparse form of the default encoder: ``(id, bucket, cnt, weight)`` with the signed
     count per bucket and its unit-normalised float32 weight (non-zero buckets only)."""
-    ids = df.select(id_col, F.explode(signed_buckets(F.col(text_col), params.embedding_dim)).alias("sb"))
+    ids = df.select(id_col, F.explode_outer(signed_buckets(F.col(text_col), params.embedding_dim)).alias("sb")) \
+        .where(F.col("sb").isNotNull())
     b = F.when(F.col("sb") >= 0, F.col("sb")).otherwise(-F.col("sb") - 1)
     s = F.when(F.col("sb") >= 0, F.lit(1)).otherwise(F.lit(-1))
     counts = (ids.groupBy(id_col, b.alias("bucket")).agg(F.sum(s).cast("bigint").alias("cnt"))

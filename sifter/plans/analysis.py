@@ -20,6 +20,7 @@ from sifter.operators import embedding as E
 from sifter.operators import lexical as L
 from sifter.operators import scoring as S
 from sifter.operators import vectors as V
+from sifter.operators.common import by_key, materialize
 from sifter.params import Params
 
 Encoder = Callable[[list[str]], np.ndarray]
@@ -40,8 +41,9 @@ def corpus_scores(queries: DataFrame, corpus: DataFrame, q_id: str, d_id: str, p
                   encoder: Encoder | None = None) -> DataFrame:
     """A1-A5 without the machine-text part: one row per (query, corpus document)
     ``(q_id, d_id, lex, mh, sem, n_hits)`` (unrounded parts)."""
+    corpus = by_key(corpus, d_id, "text")
     qp = L.with_processed(queries.select(q_id, "text"), params).select(q_id, "processed")
-    dp = L.with_processed(corpus.select(d_id, "text"), params).select(d_id, "processed")
+    dp = L.with_processed(corpus, params).select(d_id, "processed")
     lex = L.tfidf_similarity(L.term_counts(qp, q_id), L.term_counts(dp, d_id), q_id, d_id, params)
     q_sig = L.minhash_signatures(qp, q_id, params)
     d_sig = L.minhash_signatures(dp, d_id, params)
@@ -93,8 +95,8 @@ def compare_pairs(pairs: DataFrame, a_docs: DataFrame, b_docs: DataFrame, params
     ``b_docs (b_id, text)``: lexical, MinHash, whole-document semantic score, blend,
     level, top fragments (``fragments``) and, given ``ai`` rows ``(a_id, ...)`` of
     ``ai_score``, the machine-text score of document A (``ai_detection``)."""
-    pairs = pairs.select(F.col("a_id").cast("long").alias("a_id"),
-                         F.col("b_id").cast("long").alias("b_id")).distinct()
+    pairs = materialize(pairs.select(F.col("a_id").cast("long").alias("a_id"),
+                                     F.col("b_id").cast("long").alias("b_id")).distinct())
     a_used = a_docs.select(F.col("a_id").cast("long").alias("a_id"), "text").join(
         pairs.select("a_id").distinct(), "a_id", "left_semi")
     b_used = b_docs.select(F.col("b_id").cast("long").alias("b_id"), "text").join(

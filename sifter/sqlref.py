@@ -24,9 +24,10 @@ def dbl(x: float) -> str:
 
 def lemma_case(t: str, rules=T.LEMMA_RULES) -> str:
     whens = " ".join(
-        f"WHEN regexp_matches({t}, {s(m)}) AND length({t}) >= {n} "
-        f"THEN regexp_replace({t}, {s(suf)}, {s(rep)})"
-        for m, n, suf, rep in rules)
+        f"WHEN ends_with({t}, {s(suf)}) AND length({t}) >= {n}"
+        + (f" AND regexp_matches({t}, {s(extra)})" if extra else "")
+        + f" THEN left({t}, length({t}) - {len(suf)}) || {s(rep)}"
+        for suf, n, extra, rep in rules)
     return f"(CASE {whens} ELSE {t} END)"
 
 
@@ -36,7 +37,7 @@ def lemmas_expr(text: str, p: Params = DEFAULT) -> str:
     toks = (f"list_transform(regexp_extract_all({norm}, {s(T.TOKEN_RE)}), "
             f"lambda t: regexp_replace(t, {s(T.CLITIC_RE)}, '', 'g'))")
     kept = (f"list_filter({toks}, lambda t: length(t) >= {p.min_token_chars} "
-            f"AND regexp_matches(t, {s(T.LETTER_RE)}) AND NOT list_contains({stop}, t))")
+            f"AND NOT list_contains({stop}, t))")
     return f"list_transform({kept}, lambda t: {lemma_case('t')})"
 
 
