@@ -26,8 +26,13 @@ def by_key(df: DataFrame, key: str, *cols: str) -> DataFrame:
     branch that reads the corpus (the plan holds the same subtree), it spreads the
     per-row text work evenly over all tasks whatever the input file layout, and
     every later per-document aggregate (``groupBy(key, ...)``, joins on ``key``)
-    finds its input already clustered and adds no shuffle."""
-    return df.select(key, *cols).repartition(key)
+    finds its input already clustered and adds no shuffle.
+
+    Rows with a NULL key are dropped here (no join can match them). Stating the
+    filter below the exchange also keeps the subtree identical in every branch:
+    otherwise each join infers its own ``isnotnull(key)`` and pushes it under the
+    repartition, the branches differ, and the exchange is not reused."""
+    return df.where(F.col(key).isNotNull()).select(key, *cols).repartition(key)
 
 
 def materialize(df: DataFrame) -> DataFrame:
