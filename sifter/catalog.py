@@ -66,7 +66,7 @@ def split_msg(df: DataFrame) -> DataFrame:
 def lm_train(spark, sf):
     """Training texts of the language model: documents labelled quality = 1."""
     lab = table(spark, sf, "labels").where(F.col("quality") == 1).select("doc_id")
-    return docs(spark, sf).join(lab, "doc_id", "left_semi").select("text")
+    return docs_by_id(spark, sf).join(lab, "doc_id", "left_semi").select("text")
 
 
 def vectors(spark, sf):
@@ -246,8 +246,6 @@ def _ai_bench(spark, sf):
 def _corpus(spark, sf, top_n):
     r = A.compare_corpus(bench(spark, sf), docs(spark, sf), "item_id", "doc_id", P,
                          ai=_ai_bench(spark, sf), top_n=top_n)
-    if top_n is None:
-        r = S.rank_top(r, "item_id", "final_score", "doc_id", 1 << 30)
     return r.withColumn("rank", F.col("rank").cast("long"))
 
 

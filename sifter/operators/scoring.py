@@ -148,3 +148,24 @@ def rank_top(df: DataFrame, part: str, score: str, tie: str, n: int) -> DataFram
     the shuffle)."""
     w = Window.partitionBy(part).orderBy(F.col(score).desc(), F.col(tie))
     return df.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
+
+
+def ordinal_rank(df: DataFrame, part: str, score: str, tie: str) -> DataFrame:
+    """A6 without a per-group task: ``rank`` = 1-based position of each row within its
+    ``part`` by ``score`` desc, ``tie`` asc, for groups of any size.
+
+    A ``row_number()`` window would put all rows of a group (a query's whole corpus)
+    in one task. Here the rows are range-partitioned and sorted on (part, score,
+    tie); a row's rank is its offset inside its partition plus the number of rows of
+    the same group in earlier partitions. The offsets come from a small aggregate
+    (one row per group and partition; AQE broadcasts it at run time when small). The
+    key order is total, so positions and partition ids are the same on any
+    recomputation, and the range exchange is shared by both branches."""
+    order = [F.col(part), F.col(score).desc(), F.col(tie)]
+    s = (df.repartitionByRange(*order).sortWithinPartitions(*order)
+         .withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id()))
+    stats = s.groupBy(part, "_pid").agg(F.min("_mid").alias("_m0"), F.count(F.lit(1)).alias("_n"))
+    stats = stats.withColumn("_off", F.sum("_n").over(Window.partitionBy(part).orderBy("_pid")) - F.col("_n"))
+    return (s.join(stats.select(part, "_pid", "_m0", "_off"), [part, "_pid"])
+            .withColumn("rank", (F.col("_off") + F.col("_mid") - F.col("_m0") + 1).cast("long"))
+            .drop("_pid", "_mid", "_m0", "_off"))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from sifter.functions import text as T
 from sifter.operators import aiscore as D
+from sifter.operators import cache as K
 from sifter.operators import chunking as C
 from sifter.operators import embedding as E
 from sifter.operators import lexical as L
@@ -26,19 +27,29 @@ from sifter.params import Params
 Encoder = Callable[[list[str]], np.ndarray]
 
 
-def prepare_chunks(docs: DataFrame, id_col: str, params: Params, encoder: Encoder | None = None) -> DataFrame:
-    """Chunk -> embed, ``(id, chunk_no, chunk, emb)``."""
+def _embed(df: DataFrame, params: Params, text_col: str, encoder: Encoder | None,
+           cache_path: str | None) -> DataFrame:
+    if cache_path is None:
+        return E.embed(df, params, text_col, "emb", encoder)
+    return K.embed_with_cache(df, params, cache_path, text_col, encoder).drop("text_sha256", "cache_key")
+
+
+def prepare_chunks(docs: DataFrame, id_col: str, params: Params, encoder: Encoder | None = None,
+                   cache_path: str | None = None) -> DataFrame:
+    """Chunk -> embed, ``(id, chunk_no, chunk, emb)``; through the embedding cache at
+    ``cache_path`` when given (E4-E6)."""
     ch = C.chunk_documents(docs, id_col, params)
-    return E.embed(ch.select(id_col, "chunk_no", "chunk"), params, "chunk", "emb", encoder)
+    return _embed(ch.select(id_col, "chunk_no", "chunk"), params, "chunk", encoder, cache_path)
 
 
-def doc_embeddings(docs: DataFrame, id_col: str, params: Params, encoder: Encoder | None = None) -> DataFrame:
+def doc_embeddings(docs: DataFrame, id_col: str, params: Params, encoder: Encoder | None = None,
+                   cache_path: str | None = None) -> DataFrame:
     """Whole-document embedding ``(id, emb)``."""
-    return E.embed(docs.select(id_col, "text"), params, "text", "emb", encoder).select(id_col, "emb")
+    return _embed(docs.select(id_col, "text"), params, "text", encoder, cache_path).select(id_col, "emb")
 
 
 def corpus_scores(queries: DataFrame, corpus: DataFrame, q_id: str, d_id: str, params: Params,
-                  encoder: Encoder | None = None) -> DataFrame:
+                  encoder: Encoder | None = None, cache_path: str | None = None) -> DataFrame:
     """A1-A5 without the machine-text part: one row per (query, corpus document)
     ``(q_id, d_id, lex, mh, sem, n_hits)`` (unrounded parts)."""
     corpus = by_key(corpus, d_id, "text")
@@ -48,10 +59,10 @@ def corpus_scores(queries: DataFrame, corpus: DataFrame, q_id: str, d_id: str, p
     q_sig = L.minhash_signatures(qp, q_id, params)
     d_sig = L.minhash_signatures(dp, d_id, params)
     mh = L.minhash_similarity(q_sig, d_sig, q_id, d_id, params).select(q_id, d_id, "mh")
-    hits = S.chunk_hits(prepare_chunks(queries, q_id, params, encoder),
-                        prepare_chunks(corpus, d_id, params, encoder), q_id, d_id, params)
-    dense = S.doc_cosines(doc_embeddings(queries, q_id, params, encoder),
-                          doc_embeddings(corpus, d_id, params, encoder), q_id, d_id, params)
+    hits = S.chunk_hits(prepare_chunks(queries, q_id, params, encoder, cache_path),
+                        prepare_chunks(corpus, d_id, params, encoder, cache_path), q_id, d_id, params)
+    dense = S.doc_cosines(doc_embeddings(queries, q_id, params, encoder, cache_path),
+                          doc_embeddings(corpus, d_id, params, encoder, cache_path), q_id, d_id, params)
     q_tok = q_sig.select(q_id, F.lit(True).alias("q_tok"))
     d_tok = d_sig.select(d_id, F.lit(True).alias("d_tok"))
     both_empty = F.col("q_tok").isNull() & F.col("d_tok").isNull()
@@ -74,19 +85,21 @@ def score_columns(lex: Column, mh: Column, sem: Column, params: Params) -> list[
 
 def compare_corpus(queries: DataFrame, corpus: DataFrame, q_id: str, d_id: str, params: Params,
                    ai: DataFrame | None = None, top_n: int | None = None,
-                   encoder: Encoder | None = None, corpus_cols: tuple[str, ...] = ()) -> DataFrame:
+                   encoder: Encoder | None = None, corpus_cols: tuple[str, ...] = (),
+                   cache_path: str | None = None) -> DataFrame:
     """Every query against every corpus document, ranked per query (A6), optionally
-    cut to the best ``top_n`` (A7). ``ai`` = ``ai_score`` rows of the queries (A9);
-    ``corpus_cols`` are carried from the corpus (A8, e.g. a path or source column)."""
-    sc = corpus_scores(queries, corpus, q_id, d_id, params, encoder)
+    cut to the best ``top_n`` (A7); ``rank`` is the position within the query. ``ai`` = ``ai_score`` rows of the queries (A9);
+    ``corpus_cols`` are carried from the corpus (A8, e.g. a path or source column);
+    ``cache_path`` routes every embedding through the content-addressed cache."""
+    sc = corpus_scores(queries, corpus, q_id, d_id, params, encoder, cache_path)
     out = sc.select(q_id, d_id, *score_columns(F.col("lex"), F.col("mh"), F.col("sem"), params), "n_hits")
     if corpus_cols:
         out = out.join(corpus.select(d_id, *corpus_cols), d_id, "left")
     if ai is not None:
         out = out.join(ai.select(q_id, "ai_probability", "ai_label"), q_id, "left")
     if top_n is not None:
-        out = S.rank_top(out, q_id, "final_score", d_id, top_n)
-    return out
+        return S.rank_top(out, q_id, "final_score", d_id, top_n)
+    return S.ordinal_rank(out, q_id, "final_score", d_id)
 
 
 def compare_pairs(pairs: DataFrame, a_docs: DataFrame, b_docs: DataFrame, params: Params,

@@ -58,3 +58,20 @@ def test_load_corpus(spark):
     assert {r.name for r in with_pdf.collect()} == {"a", "c", "d", "f"}
     counts = {r.suffix: r.n_docs for r in S.corpus_counts(corpus).collect()}
     assert counts == {".txt": 3}
+
+
+def test_corpus_mode_through_cache(spark, params):
+    from conftest import SF_SMALL
+    from sifter.plans.analysis import compare_corpus
+
+    path = tempfile.mkdtemp(prefix="sifter-cache-") + "/cache"
+    bench = spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").select("item_id", "text")
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
+    plain = compare_corpus(bench, docs, "item_id", "doc_id", params, top_n=5)
+    cached = compare_corpus(bench, docs, "item_id", "doc_id", params, top_n=5, cache_path=path)
+    cols = sorted(plain.columns)
+    assert sorted(plain.select(cols).collect()) == sorted(cached.select(cols).collect())
+    n = K.read_cache(spark, path, K.model_id(params)).count()
+    again = compare_corpus(bench, docs, "item_id", "doc_id", params, top_n=5, cache_path=path)
+    assert sorted(again.select(cols).collect()) == sorted(plain.select(cols).collect())
+    assert K.read_cache(spark, path, K.model_id(params)).count() == n  # warm run adds nothing
