@@ -21,7 +21,8 @@ def band_keys(sigs: DataFrame, id_col: str, params: Params) -> DataFrame:
     rows = params.minhash_perms // params.lsh_bands
     keys = [F.md5(F.concat_ws(",", F.transform(F.slice("sig", b * rows + 1, rows), lambda x: x.cast("string"))))
             for b in range(params.lsh_bands)]
-    return sigs.select(id_col, F.posexplode_outer(F.array(*keys)).alias("band", "key"))
+    return (sigs.where(F.col("sig").isNotNull())
+            .select(id_col, F.posexplode_outer(F.array(*keys)).alias("band", "key")))
 
 
 def band_candidates(q_sig: DataFrame, d_sig: DataFrame, q_id: str, d_id: str, params: Params) -> DataFrame:

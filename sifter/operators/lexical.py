@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sifter.functions import hashing
@@ -54,20 +54,24 @@ def tfidf_similarity(q_tf: DataFrame, d_tf: DataFrame, q_id: str, d_id: str,
     One equi-join on ``term`` (query side broadcast after a size check).
     """
     q = q_tf.select(F.col(q_id).alias("q_id"), "term", F.col("tf").alias("tq"))
-    d = d_tf.select(F.col(d_id).alias("d_id"), "term", F.col("tf").alias("td"))
+    # each corpus term row carries its document's total sum of squares: a window over
+    # d_id, which finds the rows already clustered by document (one pass over the
+    # corpus term table instead of a second aggregate and a join back)
+    d = (d_tf.select(F.col(d_id).alias("d_id"), "term", F.col("tf").alias("td"))
+         .withColumn("dt", F.sum(F.col("td") * F.col("td")).over(Window.partitionBy("d_id"))))
     qb, q_small = bounded_broadcast(q, params.broadcast_max_rows)
     shared = (d.join(qb, "term")
               .groupBy("q_id", "d_id")
               .agg(F.sum(F.col("tq") * F.col("td")).alias("dot"),
                    F.sum(F.col("tq") * F.col("tq")).alias("qs"),
-                   F.sum(F.col("td") * F.col("td")).alias("ds")))
+                   F.sum(F.col("td") * F.col("td")).alias("ds"),
+                   F.max("dt").alias("dt")))
     qtot = q.groupBy("q_id").agg(F.sum(F.col("tq") * F.col("tq")).alias("qt"))
-    dtot = d.groupBy("d_id").agg(F.sum(F.col("td") * F.col("td")).alias("dt"))
     k = F.lit(UNSHARED_IDF_SQ)
     dbl = lambda c: F.col(c).cast("double")
     lex = dbl("dot") / F.sqrt((dbl("qs") + k * (dbl("qt") - dbl("qs")))
                               * (dbl("ds") + k * (dbl("dt") - dbl("ds"))))
-    return (shared.join(F.broadcast(qtot) if q_small else qtot, "q_id").join(dtot, "d_id")
+    return (shared.join(F.broadcast(qtot) if q_small else qtot, "q_id")
             .select(F.col("q_id").alias(q_id), F.col("d_id").alias(d_id),
                     F.least(F.lit(1.0), lex).alias("lex")))
 
@@ -80,38 +84,54 @@ def token_sets(processed: DataFrame, id_col: str) -> DataFrame:
 
 
 def minhash_signatures(processed: DataFrame, id_col: str, params: Params) -> DataFrame:
-    """``(id, n_tokens, sig ARRAY<BIGINT>)``; documents without tokens get no row.
+    """``(id, n_tokens, sig ARRAY<BIGINT>)``; ``sig`` is NULL for a document without
+    tokens.
 
     Each distinct token is hashed once; the ``minhash_perms`` slot minima are one
     aggregate with one ``min`` per slot (map-side partial aggregation, so the
     shuffle carries at most one row per document and partition).
     """
     coeffs = hashing.minhash_coefficients(params.minhash_perms, params.minhash_seed)
-    toks = token_sets(processed, id_col).select(id_col, hashing.token_hash28(F.col("token")).alias("h"))
+    toks = processed.select(
+        id_col, F.explode_outer(F.array_distinct(T.whitespace_tokens(F.col("processed")))).alias("token")
+    ).select(id_col, hashing.token_hash28(F.col("token")).alias("h"))
     p = F.lit(hashing.MERSENNE_31)
     h = F.col("h")
     mins = [F.min((F.lit(a) * h + F.lit(b)) % p).alias(f"m{i}") for i, (a, b) in enumerate(coeffs)]
-    agg = toks.groupBy(id_col).agg(F.count(F.lit(1)).alias("n_tokens"), *mins)
+    agg = toks.groupBy(id_col).agg(F.count("h").alias("n_tokens"), *mins)
     return agg.select(id_col, "n_tokens",
-                      F.array(*[F.col(f"m{i}") for i in range(len(coeffs))]).alias("sig"))
+                      F.when(F.col("n_tokens") > 0, F.array(*[F.col(f"m{i}") for i in range(len(coeffs))]))
+                      .alias("sig"))
+
 
+EMPTY_SLOT = -1  # marker slot of a document without tokens
 
-def signature_slots(sigs: DataFrame, id_col: str) -> DataFrame:
-    """``(id, slot INT, val BIGINT)``: the signature in long form."""
-    return sigs.select(id_col, F.posexplode("sig").alias("slot", "val"))
+
+def signature_slots(sigs: DataFrame, id_col: str, mark_empty: bool = False) -> DataFrame:
+    """``(id, slot INT, val BIGINT)``: the signature in long form. With ``mark_empty`` a
+    document without tokens gets the single row ``(EMPTY_SLOT, 0)``."""
+    rows = sigs.select(id_col, F.posexplode_outer("sig").alias("slot", "val"))
+    if mark_empty:  # a NULL signature explodes to one (NULL, NULL) row: make it the marker
+        return rows.select(id_col, F.coalesce(F.col("slot"), F.lit(EMPTY_SLOT)).alias("slot"),
+                           F.coalesce(F.col("val"), F.lit(0).cast("bigint")).alias("val"))
+    return rows.where(F.col("slot").isNotNull())
 
 
 def minhash_similarity(q_sig: DataFrame, d_sig: DataFrame, q_id: str, d_id: str,
-                       params: Params) -> DataFrame:
-    """L6 for every (query, doc) pair of non-empty documents with at least one equal
-    slot -> ``(q_id, d_id, matches BIGINT, mh DOUBLE)``; equi-join on (slot, value)."""
-    qs = signature_slots(q_sig, q_id).withColumnRenamed(q_id, "q_id")
-    ds = signature_slots(d_sig, d_id).withColumnRenamed(d_id, "d_id")
+                       params: Params, mark_empty: bool = False) -> DataFrame:
+    """L6 for every (query, doc) pair with at least one equal slot ->
+    ``(q_id, d_id, matches BIGINT, mh DOUBLE)``; one equi-join on (slot, value).
+
+    With ``mark_empty`` two documents without tokens also meet (on the marker slot) and
+    score 1, so a caller needs no separate emptiness lookup; pairs absent from the
+    result score 0 either way."""
+    qs = signature_slots(q_sig, q_id, mark_empty).withColumnRenamed(q_id, "q_id")
+    ds = signature_slots(d_sig, d_id, mark_empty).withColumnRenamed(d_id, "d_id")
     qb, _ = bounded_broadcast(qs, params.broadcast_max_rows)
     m = (ds.join(qb, ["slot", "val"]).groupBy("q_id", "d_id")
-         .agg(F.count(F.lit(1)).alias("matches")))
-    return m.select(F.col("q_id").alias(q_id), F.col("d_id").alias(d_id), "matches",
-                    (F.col("matches") / F.lit(float(params.minhash_perms))).alias("mh"))
+         .agg(F.count(F.lit(1)).alias("matches"), F.min("slot").alias("_s0")))
+    mh = F.when(F.col("_s0") == EMPTY_SLOT, F.lit(1.0)).otherwise(F.col("matches") / F.lit(float(params.minhash_perms)))
+    return m.select(F.col("q_id").alias(q_id), F.col("d_id").alias(d_id), "matches", mh.alias("mh"))
 
 
 def jaccard_similarity(q_proc: DataFrame, d_proc: DataFrame, q_id: str, d_id: str,

@@ -58,20 +58,17 @@ def corpus_scores(queries: DataFrame, corpus: DataFrame, q_id: str, d_id: str, p
     lex = L.tfidf_similarity(L.term_counts(qp, q_id), L.term_counts(dp, d_id), q_id, d_id, params)
     q_sig = L.minhash_signatures(qp, q_id, params)
     d_sig = L.minhash_signatures(dp, d_id, params)
-    mh = L.minhash_similarity(q_sig, d_sig, q_id, d_id, params).select(q_id, d_id, "mh")
+    mh = L.minhash_similarity(q_sig, d_sig, q_id, d_id, params, mark_empty=True).select(q_id, d_id, "mh")
     hits = S.chunk_hits(prepare_chunks(queries, q_id, params, encoder, cache_path),
                         prepare_chunks(corpus, d_id, params, encoder, cache_path), q_id, d_id, params)
     dense = S.doc_cosines(doc_embeddings(queries, q_id, params, encoder, cache_path),
                           doc_embeddings(corpus, d_id, params, encoder, cache_path), q_id, d_id, params)
-    q_tok = q_sig.select(q_id, F.lit(True).alias("q_tok"))
-    d_tok = d_sig.select(d_id, F.lit(True).alias("d_tok"))
-    both_empty = F.col("q_tok").isNull() & F.col("d_tok").isNull()
     out = (dense.join(lex, [q_id, d_id], "left").join(mh, [q_id, d_id], "left")
-           .join(hits, [q_id, d_id], "left").join(q_tok, q_id, "left").join(d_tok, d_id, "left"))
+           .join(hits, [q_id, d_id], "left"))
     return out.select(
         q_id, d_id,
         F.coalesce(F.col("lex"), F.lit(0.0)).alias("lex"),
-        F.when(both_empty, F.lit(1.0)).otherwise(F.coalesce(F.col("mh"), F.lit(0.0))).alias("mh"),
+        F.coalesce(F.col("mh"), F.lit(0.0)).alias("mh"),
         T.clamp01(F.coalesce(F.col("hit_mean"), F.col("doc_cos"))).alias("sem"),
         F.coalesce(F.col("n_hits"), F.lit(0)).cast("long").alias("n_hits"))
 

@@ -76,3 +76,13 @@ def test_pair_scores_degenerate(spark, params):
     assert got[(1, 11)] == (0.0, 0.0)  # one without tokens
     assert got[(2, 11)] == (1.0, 1.0)
     assert got[(2, 12)][0] == 0.0
+
+
+def test_minhash_empty_marker(spark, params):
+    q = spark.createDataFrame([(1, ""), (2, "alpha beta")], "q bigint, processed string")
+    d = spark.createDataFrame([(10, ""), (11, "alpha beta"), (12, "gamma")], "d bigint, processed string")
+    qs, ds = L.minhash_signatures(q, "q", params), L.minhash_signatures(d, "d", params)
+    marked = {(r.q, r.d): r.mh for r in L.minhash_similarity(qs, ds, "q", "d", params, mark_empty=True).collect()}
+    assert marked == {(1, 10): 1.0, (2, 11): 1.0}
+    plain = {(r.q, r.d): r.mh for r in L.minhash_similarity(qs, ds, "q", "d", params).collect()}
+    assert plain == {(2, 11): 1.0}
