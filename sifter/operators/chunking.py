@@ -1,9 +1,10 @@
 """Sentences (T8/T9) and greedy sentence-aligned chunking with overlap.
 
-Everything is per document row (no shuffle): the sentence array and the word
-counts are native expressions; only the sequential fold that picks chunk
-boundaries runs in Python, over Arrow batches of small int arrays (the text never
-leaves the JVM). The chunk text is then sliced natively from the sentence array.
+Everything is per document row (no shuffle): the sentence array is a native
+expression; the sequential fold that picks chunk boundaries runs in Python over
+Arrow batches of each row's sentence array (word counts are ``len(s.split())``,
+computed there in C), and returns only int ranges. The chunk text is then sliced
+natively from the sentence array.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from sifter.params import Params
 BOUNDS_TYPE = TT.ArrayType(TT.StructType([
     TT.StructField("s", TT.IntegerType(), False),
     TT.StructField("e", TT.IntegerType(), False),
+    TT.StructField("n", TT.IntegerType(), False),
 ]))
 
 
@@ -50,9 +52,14 @@ def chunk_bounds(counts: list[int] | np.ndarray, max_words: int, overlap_words:
 
 def _bounds_udf(max_words: int, overlap_words: int):
     @F.pandas_udf(BOUNDS_TYPE)
-    def bounds(wc: pd.Series) -> pd.Series:
-        return pd.Series([[{"s": a, "e": b} for a, b in chunk_bounds(c, max_words, overlap_words)]
-                          for c in wc])
+    def bounds(sents: pd.Series) -> pd.Series:
+        out = []
+        for ss in sents:
+            counts = [len(s.split()) for s in ss]
+            prefix = np.concatenate(([0], np.cumsum(counts, dtype=np.int64)))
+            out.append([{"s": a, "e": b, "n": int(prefix[b + 1] - prefix[a])}
+                        for a, b in chunk_bounds(counts, max_words, overlap_words)])
+        return pd.Series(out)
     return bounds
 
 
@@ -72,24 +79,26 @@ def sentence_rows(docs: DataFrame, id_col: str, text_col: str = "text") -> DataF
 def chunk_documents(docs: DataFrame, id_col: str, params: Params, text_col: str = "text") -> DataFrame:
     """``(id, chunk_no, first_sent, last_sent, n_words, chunk)``.
 
+    The Python step receives each row's sentence array and returns the chunk ranges
+    with their word counts (``len(s.split())`` per sentence); the chunk text is sliced
+    from the sentence array in the JVM.
+
     A document without sentences is one chunk holding its text (C3). An explicit
     ``chunk_overlap_words=0`` means no overlap.
     """
     bounds = _bounds_udf(params.chunk_max_words, params.chunk_overlap_words)
     none = F.lit(None).cast("int")
-    d = with_sentences(docs.select(id_col, text_col), text_col)
-    d = d.withColumn("b", F.when(F.size("sents") > 0, bounds(F.col("wc")))
-                     .otherwise(F.array(F.struct(none.alias("s"), none.alias("e")))))
+    d = docs.select(id_col, text_col).withColumn("sents", T.sentences(F.col(text_col)))
+    d = d.withColumn("b", F.when(F.size("sents") > 0, bounds(F.col("sents")))
+                     .otherwise(F.array(F.struct(none.alias("s"), none.alias("e"), none.alias("n")))))
     # posexplode_outer: a plain generator would make the optimizer infer size(b) > 0 and
     # push a copy of the whole sentence/UDF pipeline below the exchange as a filter
-    rows = d.select(id_col, text_col, "sents", "wc", F.posexplode_outer("b").alias("chunk_no", "r"))
+    rows = d.select(id_col, text_col, "sents", F.posexplode_outer("b").alias("chunk_no", "r"))
     cnt = F.col("r.e") - F.col("r.s") + 1
     whole = F.col("r.s").isNull()
     return rows.select(
         id_col, "chunk_no",
         F.col("r.s").alias("first_sent"), F.col("r.e").alias("last_sent"),
-        F.when(whole, T.word_count(F.col(text_col)))
-        .otherwise(F.aggregate(F.slice("wc", F.col("r.s") + 1, cnt), F.lit(0), lambda a, x: a + x))
-        .alias("n_words"),
+        F.when(whole, T.word_count(F.col(text_col))).otherwise(F.col("r.n")).alias("n_words"),
         F.when(whole, F.col(text_col))
         .otherwise(F.array_join(F.slice("sents", F.col("r.s") + 1, cnt), " ")).alias("chunk"))
