@@ -75,3 +75,11 @@ def test_corpus_mode_through_cache(spark, params):
     again = compare_corpus(bench, docs, "item_id", "doc_id", params, top_n=5, cache_path=path)
     assert sorted(again.select(cols).collect()) == sorted(plain.select(cols).collect())
     assert K.read_cache(spark, path, K.model_id(params)).count() == n  # warm run adds nothing
+
+
+def test_write_results(spark):
+    from sifter.sources.sinks import write_results
+    out = tempfile.mkdtemp(prefix="sifter-out-") + "/res"
+    df = spark.createDataFrame([(1, 0.5), (2, 0.7)], "q bigint, s double")
+    write_results(df, out, partition_by=["q"])
+    assert sorted(spark.read.parquet(out).select("q", "s").collect()) == sorted(df.collect())
