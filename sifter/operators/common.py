@@ -19,8 +19,10 @@ def rename_id(df: DataFrame, src: str, dst: str) -> DataFrame:
     return df if src == dst else df.withColumnRenamed(src, dst)
 
 
-def by_key(df: DataFrame, key: str, *cols: str) -> DataFrame:
-    """``df[key, *cols]`` hash-partitioned by ``key``.
+def by_key(df: DataFrame, key: str, *cols: str, num_partitions: int | None = None) -> DataFrame:
+    """``df[key, *cols]`` hash-partitioned by ``key`` into ``num_partitions`` (default: the
+    larger of ``spark.sql.shuffle.partitions`` and the input's split count, so each
+    partition stays about one input split however large the corpus is).
 
     Used once at the start of a corpus plan: the one exchange is reused by every
     branch that reads the corpus (the plan holds the same subtree), it spreads the
@@ -32,7 +34,10 @@ def by_key(df: DataFrame, key: str, *cols: str) -> DataFrame:
     filter below the exchange also keeps the subtree identical in every branch:
     otherwise each join infers its own ``isnotnull(key)`` and pushes it under the
     repartition, the branches differ, and the exchange is not reused."""
-    return df.where(F.col(key).isNotNull()).select(key, *cols).repartition(key)
+    if num_partitions is None:
+        conf = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+        num_partitions = max(conf, df.rdd.getNumPartitions())
+    return df.where(F.col(key).isNotNull()).select(key, *cols).repartition(num_partitions, key)
 
 
 def materialize(df: DataFrame) -> DataFrame:
