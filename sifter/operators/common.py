@@ -30,6 +30,10 @@ def by_key(df: DataFrame, key: str, *cols: str, num_partitions: int | None = Non
     every later per-document aggregate (``groupBy(key, ...)``, joins on ``key``)
     finds its input already clustered and adds no shuffle.
 
+    Applied again to the preprocessed corpus, it lets two branches (term counts and
+    MinHash signatures) share one preprocessing pass: shuffling the compact processed
+    text once is far cheaper than repeating the regex work per branch.
+
     Rows with a NULL key are dropped here (no join can match them). Stating the
     filter below the exchange also keeps the subtree identical in every branch:
     otherwise each join infers its own ``isnotnull(key)`` and pushes it under the

@@ -54,7 +54,9 @@ def corpus_scores(queries: DataFrame, corpus: DataFrame, q_id: str, d_id: str, p
     ``(q_id, d_id, lex, mh, sem, n_hits)`` (unrounded parts)."""
     corpus = by_key(corpus, d_id, "text")
     qp = L.with_processed(queries.select(q_id, "text"), params).select(q_id, "processed")
-    dp = L.with_processed(corpus, params).select(d_id, "processed")
+    # second (small) exchange: the processed text is shared by the term and signature
+    # branches, so the regex preprocessing runs once per document
+    dp = by_key(L.with_processed(corpus, params), d_id, "processed")
     lex = L.tfidf_similarity(L.term_counts(qp, q_id), L.term_counts(dp, d_id), q_id, d_id, params)
     q_sig = L.minhash_signatures(qp, q_id, params)
     d_sig = L.minhash_signatures(dp, d_id, params)
