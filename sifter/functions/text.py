@@ -22,7 +22,6 @@ STRIP_RE = f"^[{WS}]+|[{WS}]+$"
 SENT_END_RE = f"([.!?])[{WS}]+"
 TOKEN_RE = "[a-z']+"  # tokens of normalised text
 CLITIC_RE = "^'+|'s$|'+$"  # leading quote, possessive, trailing quote
-LETTER_RE = "[a-z]"
 VECTOR_TOKEN_RE = "[\\p{L}\\p{N}]+"  # tokens seen by the hashing encoder / language model
 TFIDF_TOKEN_RE = "[\\p{L}\\p{N}_]{2,}"  # runs of at least two word characters
 

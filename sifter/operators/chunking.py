@@ -63,12 +63,6 @@ def _bounds_udf(max_words: int, overlap_words: int):
     return bounds
 
 
-def with_sentences(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """Adds ``sents ARRAY<STRING>`` and ``wc ARRAY<INT>`` (words per sentence)."""
-    return (docs.withColumn("sents", T.sentences(F.col(text_col)))
-            .withColumn("wc", F.transform("sents", T.word_count)))
-
-
 def sentence_rows(docs: DataFrame, id_col: str, text_col: str = "text") -> DataFrame:
     """``(id, sent_no, sent, n_words)`` one row per sentence, ``sent_no`` from 0."""
     return (docs.select(id_col, F.posexplode_outer(T.sentences(F.col(text_col))).alias("sent_no", "sent"))

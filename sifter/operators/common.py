@@ -15,10 +15,6 @@ def bounded_broadcast(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
     return df, False
 
 
-def rename_id(df: DataFrame, src: str, dst: str) -> DataFrame:
-    return df if src == dst else df.withColumnRenamed(src, dst)
-
-
 def by_key(df: DataFrame, key: str, *cols: str, num_partitions: int | None = None) -> DataFrame:
     """``df[key, *cols]`` hash-partitioned by ``key`` into ``num_partitions`` (default: the
     larger of ``spark.sql.shuffle.partitions`` and the input's split count, so each
@@ -40,7 +36,10 @@ def by_key(df: DataFrame, key: str, *cols: str, num_partitions: int | None = Non
     repartition, the branches differ, and the exchange is not reused."""
     if num_partitions is None:
         conf = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-        num_partitions = max(conf, df.rdd.getNumPartitions())
+        try:
+            num_partitions = max(conf, df.rdd.getNumPartitions())
+        except Exception:  # noqa: BLE001 - no RDD view of the plan (e.g. a remote session)
+            num_partitions = conf
     return df.where(F.col(key).isNotNull()).select(key, *cols).repartition(num_partitions, key)
 
 
