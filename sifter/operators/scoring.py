@@ -12,6 +12,7 @@ from pyspark.sql import types as TT
 
 from sifter.functions import text as T
 from sifter.operators import vectors as V
+from sifter.operators.common import materialize
 from sifter.params import Params
 
 CHUNK_BITS = 20  # chunk uid = doc_id * 2^20 + chunk_no (chunk_no < 2^20)
@@ -158,12 +159,15 @@ def ordinal_rank(df: DataFrame, part: str, score: str, tie: str) -> DataFrame:
     in one task. Here the rows are range-partitioned and sorted on (part, score,
     tie); a row's rank is its offset inside its partition plus the number of rows of
     the same group in earlier partitions. The offsets come from a small aggregate
-    (one row per group and partition; AQE broadcasts it at run time when small). The
-    key order is total, so positions and partition ids are the same on any
-    recomputation, and the range exchange is shared by both branches."""
+    (one row per group and partition; AQE broadcasts it at run time when small).
+
+    Partition ids and positions are frozen by a reliable checkpoint of the sorted
+    rows (in the session's shared checkpoint folder) before they are read twice:
+    two separate range exchanges would each sample their own bounds, so the
+    offsets could be computed on a different partitioning than the rows."""
     order = [F.col(part), F.col(score).desc(), F.col(tie)]
-    s = (df.repartitionByRange(*order).sortWithinPartitions(*order)
-         .withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id()))
+    s = materialize(df.repartitionByRange(*order).sortWithinPartitions(*order)
+                    .withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id()))
     stats = s.groupBy(part, "_pid").agg(F.min("_mid").alias("_m0"), F.count(F.lit(1)).alias("_n"))
     stats = stats.withColumn("_off", F.sum("_n").over(Window.partitionBy(part).orderBy("_pid")) - F.col("_n"))
     return (s.join(stats.select(part, "_pid", "_m0", "_off"), [part, "_pid"])
