@@ -1,8 +1,10 @@
 """Composite entry points (P1-P4): corpus mode, pair mode, machine-text score.
 
-Each is a function of DataFrames; nothing is collected. Query sets and corpora
-are whole tables; the only driver-side values are row counts used to decide
-whether a side may be broadcast.
+Each is a function of DataFrames returning a DataFrame. What reaches the driver is
+limited to row counts (to decide whether a side may be broadcast), the query-side
+vector matrix when that count and its byte size are under the broadcast bounds,
+and one vocabulary size; small driving tables (a pair list, the sorted rows of a
+full ranking) are cut with a reliable checkpoint in the shared folder.
 """
 
 from __future__ import annotations
@@ -87,9 +89,11 @@ def compare_corpus(queries: DataFrame, corpus: DataFrame, q_id: str, d_id: str,
                    encoder: Encoder | None = None, corpus_cols: tuple[str, ...] = (),
                    cache_path: str | None = None) -> DataFrame:
     """Every query against every corpus document, ranked per query (A6), optionally
-    cut to the best ``top_n`` (A7); ``rank`` is the position within the query. ``ai`` = ``ai_score`` rows of the queries (A9);
-    ``corpus_cols`` are carried from the corpus (A8, e.g. a path or source column);
-    ``cache_path`` routes every embedding through the content-addressed cache."""
+    cut to the best ``top_n`` (A7); ``rank`` is the position within the query.
+
+    ``ai`` = ``ai_score`` rows of the queries (A9); ``corpus_cols`` are carried from the
+    corpus (A8, e.g. a path or source column); ``cache_path`` routes every embedding
+    through the content-addressed cache."""
     sc = corpus_scores(queries, corpus, q_id, d_id, params, encoder, cache_path)
     out = sc.select(q_id, d_id, *score_columns(F.col("lex"), F.col("mh"), F.col("sem"), params), "n_hits")
     if corpus_cols:
@@ -102,11 +106,13 @@ def compare_corpus(queries: DataFrame, corpus: DataFrame, q_id: str, d_id: str,
 
 
 def compare_pairs(pairs: DataFrame, a_docs: DataFrame, b_docs: DataFrame, params: Params,
-                  ai: DataFrame | None = None, scorer=None, encoder: Encoder | None = None) -> DataFrame:
+                  ai: DataFrame | None = None, scorer=None, encoder: Encoder | None = None,
+                  cache_path: str | None = None) -> DataFrame:
     """Pair mode for ``pairs (a_id, b_id)`` with ``a_docs (a_id, text)`` and
     ``b_docs (b_id, text)``: lexical, MinHash, whole-document semantic score, blend,
     level, top fragments (``fragments``) and, given ``ai`` rows ``(a_id, ...)`` of
-    ``ai_score``, the machine-text score of document A (``ai_detection``)."""
+    ``ai_score``, the machine-text score of document A (``ai_detection``). ``scorer``
+    re-ranks fragments (F2); ``cache_path`` routes embeddings through the cache."""
     pairs = materialize(pairs.select(F.col("a_id").cast("long").alias("a_id"),
                                      F.col("b_id").cast("long").alias("b_id")).distinct())
     a_used = a_docs.select(F.col("a_id").cast("long").alias("a_id"), "text").join(
@@ -115,12 +121,12 @@ def compare_pairs(pairs: DataFrame, a_docs: DataFrame, b_docs: DataFrame, params
         pairs.select("b_id").distinct(), "b_id", "left_semi")
     lexmh = L.pair_lexical_scores(pairs, L.with_processed(a_used, params).select("a_id", "processed"),
                                   L.with_processed(b_used, params).select("b_id", "processed"), params)
-    ea = doc_embeddings(a_used, "a_id", params, encoder).withColumnRenamed("emb", "ea")
-    eb = doc_embeddings(b_used, "b_id", params, encoder).withColumnRenamed("emb", "eb")
+    ea = doc_embeddings(a_used, "a_id", params, encoder, cache_path).withColumnRenamed("emb", "ea")
+    eb = doc_embeddings(b_used, "b_id", params, encoder, cache_path).withColumnRenamed("emb", "eb")
     sem = (pairs.join(ea, "a_id").join(eb, "b_id")
            .select("a_id", "b_id", T.clamp01(V.dot(F.col("ea"), F.col("eb"))).alias("sem")))
-    a_chunks = prepare_chunks(a_used, "a_id", params, encoder)
-    b_chunks = prepare_chunks(b_used, "b_id", params, encoder)
+    a_chunks = prepare_chunks(a_used, "a_id", params, encoder, cache_path)
+    b_chunks = prepare_chunks(b_used, "b_id", params, encoder, cache_path)
     frags = S.similar_fragments(pairs, a_chunks, b_chunks, params)
     top = S.top_fragments(S.rerank_fragments(frags, a_chunks, b_chunks, params, scorer), params)
     frag_type = "array<struct<frag_doc1:string,frag_doc2:string,score:double>>"
