@@ -27,7 +27,7 @@ from sifter.operators import vectors as V
 from sifter.operators.common import by_key, materialize
 from sifter.params import DEFAULT, Params
 from sifter.plans import analysis as A
-from sifter.session import shared_dir
+from sifter.session import ship_package, shared_dir
 
 P: Params = DEFAULT
 PAIRS_PER_QUERY = 3  # pair mode drills into each query's 3 best lexical matches
@@ -35,6 +35,7 @@ MSG_BITS = 16  # conversations key: conv_id * 2^16 + turn
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -27,6 +27,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     )
     spark.sparkContext.setLogLevel("ERROR")
     shared_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -47,3 +48,31 @@ def shared_dir(spark: SparkSession) -> str:
     local = tempfile.mkdtemp(prefix="sifter-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or os.path.abspath(local)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``sifter`` importable in the executors' Python workers (the UDFs refer to its
+    modules): zip the package once per application and register it with ``addPyFile``,
+    which distributes it with the job. A cluster that has the package installed does
+    not need this; it is a no-op after the first call."""
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    import zipfile
+
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    out = os.path.join(tempfile.mkdtemp(prefix="sifter-pyfiles-"), "sifter.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for base, dirs, files in os.walk(pkg_dir):
+            dirs[:] = [d for d in dirs if d != "__pycache__"]
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(base, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(out)
+    _SHIPPED.add(app)
