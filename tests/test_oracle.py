@@ -45,3 +45,17 @@ def test_entry_runs(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert {"item_id", "doc_id", "final_score", "level", "rank"} <= set(df.columns)
+
+
+FALLBACK = ["tfidf_pair_similarity", "minhash_similarity", "vector_topk", "doc_semantic_similarity",
+            "corpus_semantic_hits", "analyze_corpus", "analyze_pairs"]
+
+
+@pytest.mark.parametrize("name", FALLBACK)
+def test_no_broadcast_paths_match_oracle(spark, con, name, monkeypatch):
+    """Past the broadcast bounds the joins shuffle and kNN runs on the multi-block grid."""
+    from dataclasses import replace
+
+    import sifter.catalog as C
+    monkeypatch.setattr(C, "P", replace(C.P, broadcast_max_rows=0, broadcast_max_bytes=0, block_rows=60))
+    test_query_matches_oracle(spark, con, name)
