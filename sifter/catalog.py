@@ -260,10 +260,12 @@ def q_corpus_top10(spark, sf):
 
 # --------------------------------------------------------------------------- pair mode (F*, P1)
 
-def _pairs(spark, sf):
+def _pairs(spark, sf, checkpoint=True):
+    """Each passage's 3 best lexical matches (a top-k report) as the pair list."""
     lex = _lex(spark, sf).withColumn("lex9", F.round("lex", 9))
     top = S.rank_top(lex, "item_id", "lex9", "doc_id", PAIRS_PER_QUERY)
-    return materialize(top.select(F.col("item_id").alias("a_id"), F.col("doc_id").alias("b_id")))
+    pairs = top.select(F.col("item_id").alias("a_id"), F.col("doc_id").alias("b_id"))
+    return materialize(pairs) if checkpoint else pairs
 
 
 def _pair_chunks(spark, sf):
@@ -304,7 +306,7 @@ def q_rerank_fragments(spark, sf):
 
 def q_analyze_pairs(spark, sf):
     ai = _ai_bench(spark, sf).withColumnRenamed("item_id", "a_id")
-    r = A.compare_pairs(_pairs(spark, sf), bench(spark, sf).withColumnRenamed("item_id", "a_id"),
+    r = A.compare_pairs(_pairs(spark, sf, checkpoint=False), bench(spark, sf).withColumnRenamed("item_id", "a_id"),
                         docs(spark, sf).withColumnRenamed("doc_id", "b_id"), P, ai=ai)
     return _named(r.select("a_id", "b_id", "lex_score", "minhash_score", "semantic_score", "final_score", "level",
                            F.size("fragments").cast("long").alias("n_fragments"), "ai_probability", "ai_label"))
