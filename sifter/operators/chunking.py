@@ -17,6 +17,7 @@ from pyspark.sql import types as TT
 
 from sifter.functions import text as T
 from sifter.params import Params
+from sifter.session import ensure_workers
 
 BOUNDS_TYPE = TT.ArrayType(TT.StructType([
     TT.StructField("s", TT.IntegerType(), False),
@@ -80,6 +81,7 @@ def chunk_documents(docs: DataFrame, id_col: str, params: Params, text_col: str
     A document without sentences is one chunk holding its text (C3). An explicit
     ``chunk_overlap_words=0`` means no overlap.
     """
+    ensure_workers(docs.sparkSession)
     bounds = _bounds_udf(params.chunk_max_words, params.chunk_overlap_words)
     none = F.lit(None).cast("int")
     d = docs.select(id_col, text_col).withColumn("sents", T.sentences(F.col(text_col)))

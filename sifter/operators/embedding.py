@@ -22,6 +22,7 @@ from pyspark.sql import types as TT
 
 from sifter.functions import text as T
 from sifter.params import Params
+from sifter.session import ensure_workers
 
 VECTOR = TT.ArrayType(TT.FloatType())
 
@@ -74,6 +75,7 @@ def _encoder_udf(encoder: Callable[[list[str]], np.ndarray], batch_size: int):
 def embed_column(text: Column, params: Params,
                  encoder: Callable[[list[str]], np.ndarray] | None = None) -> Column:
     """Unit embedding of a text column (ARRAY<FLOAT>)."""
+    ensure_workers()
     if encoder is None:
         return _densify_udf(params.embedding_dim)(signed_buckets(text, params.embedding_dim))
     return _encoder_udf(encoder, params.encoder_batch_size)(text)

@@ -14,6 +14,7 @@ from sifter.functions import text as T
 from sifter.operators import vectors as V
 from sifter.operators.common import materialize
 from sifter.params import Params
+from sifter.session import ensure_workers
 
 CHUNK_BITS = 20  # chunk uid = doc_id * 2^20 + chunk_no (chunk_no < 2^20)
 
@@ -101,6 +102,7 @@ def token_jaccard_scorer(a: Column, b: Column) -> Column:
 def pandas_pair_scorer(fn: Callable[[list[str], list[str]], np.ndarray], batch_size: int = 64):
     """Wraps a model ``fn(texts_a, texts_b) -> scores`` (e.g. a cross-encoder) as an
     Arrow-batched pair scorer column function; 2-D outputs use column 0."""
+    ensure_workers()
     @F.pandas_udf(TT.DoubleType())
     def score(a: pd.Series, b: pd.Series) -> pd.Series:
         out = []

@@ -76,3 +76,11 @@ def ship_package(spark: SparkSession) -> None:
                     z.write(full, os.path.relpath(full, root))
     sc.addPyFile(out)
     _SHIPPED.add(app)
+
+
+def ensure_workers(spark: SparkSession | None = None) -> None:
+    """``ship_package`` for the given or the active session (called where Python UDFs are
+    built, so the library works from any working directory)."""
+    spark = spark or SparkSession.getActiveSession()
+    if spark is not None:
+        ship_package(spark)

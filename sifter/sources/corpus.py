@@ -29,6 +29,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as TT
 
+from sifter.session import ensure_workers
+
 SUFFIXES = (".pdf", ".docx", ".txt")
 WORD_NS = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
 
@@ -111,6 +113,7 @@ def load_corpus(spark: SparkSession, folder: str,
 
     The corpus has one row per file stem: the last file in path order among those
     with non-empty text."""
+    ensure_workers(spark)
     files = read_files(spark, folder)
     extracted = files.mapInPandas(extract_files(pdf_extractor), EXTRACTED)
     quarantine = extracted.where(F.col("error").isNotNull()).select("path", "name", "suffix", "error")
