@@ -55,9 +55,12 @@ _SHIPPED: set[str] = set()
 
 def ship_package(spark: SparkSession) -> None:
     """Make ``sifter`` importable in the executors' Python workers (the UDFs refer to its
-    modules): zip the package once per application and register it with ``addPyFile``,
-    which distributes it with the job. A cluster that has the package installed does
-    not need this; it is a no-op after the first call."""
+    modules): zip the package once per application and register it with ``addPyFile``;
+    the driver's file server then hands it to every executor. This is code, not data.
+    On a cluster where the package is installed (or passed with ``--py-files``), set
+    ``spark.sifter.shipPackage=false``. It is a no-op after the first call."""
+    if spark.conf.get("spark.sifter.shipPackage", "true").lower() == "false":
+        return
     sc = spark.sparkContext
     app = sc.applicationId
     if app in _SHIPPED:
