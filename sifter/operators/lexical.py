@@ -186,3 +186,24 @@ def pair_lexical_scores(pairs: DataFrame, a_proc: DataFrame, b_proc: DataFrame,
               .otherwise(equal / F.lit(float(params.minhash_perms))))
     return out.select(*pairs.columns, F.coalesce(F.col("lex"), F.lit(0.0)).alias("lex"),
                       mh_col.alias("mh"))
+
+
+def processed_with_dictionary(df: DataFrame, id_col: str, dictionary: DataFrame, params: Params,
+                              text_col: str = "text") -> DataFrame:
+    """T6 with a user lemma dictionary ``(token, lemma)``: dictionary lemmas win, the
+    rules cover the rest -> ``(id, processed)``.
+
+    Kept tokens are exploded with their positions and left-joined to the dictionary
+    (broadcast after a size check), then re-joined per document in text order; a
+    document's tokens are one row's worth, so the per-document group is bounded."""
+    kept = F.filter(T.raw_tokens(T.normalize(F.col(text_col))), lambda t: T.keep_token(t, params))
+    toks = (df.select(id_col, F.posexplode_outer(kept).alias("pos", "token"))
+            .where(F.col("pos").isNotNull()))
+    dic, _ = bounded_broadcast(dictionary.select("token", F.col("lemma").alias("_dict_lemma"))
+                               .dropDuplicates(["token"]), params.broadcast_max_rows)
+    lem = toks.join(dic, "token", "left").select(
+        id_col, "pos", F.coalesce(F.col("_dict_lemma"), T.lemma(F.col("token"))).alias("lemma"))
+    per_doc = lem.groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct("pos", "lemma"))).alias("l"))
+    out = df.select(id_col).join(per_doc, id_col, "left")
+    return out.select(id_col, F.coalesce(F.array_join(F.transform("l", lambda x: x["lemma"]), " "), F.lit(""))
+                      .alias("processed"))

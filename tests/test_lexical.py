@@ -86,3 +86,12 @@ def test_minhash_empty_marker(spark, params):
     assert marked == {(1, 10): 1.0, (2, 11): 1.0}
     plain = {(r.q, r.d): r.mh for r in L.minhash_similarity(qs, ds, "q", "d", params).collect()}
     assert plain == {(2, 11): 1.0}
+
+
+def test_lemma_dictionary(spark, params):
+    docs = spark.createDataFrame([(1, "Students are learning NLP and data science"), (2, "the and")],
+                                 "id bigint, text string")
+    dic = spark.createDataFrame([("learning", "learn"), ("data", "datum"), ("science", "science")],
+                                "token string, lemma string")
+    got = {r.id: r.processed for r in L.processed_with_dictionary(docs, "id", dic, params).collect()}
+    assert got == {1: "student learn nlp datum science", 2: ""}
