@@ -2,16 +2,35 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sifter.llm import ring, simhash
+from sifter.llm import bpe_lexicon, decontaminate, knn_join, ring, simhash, token_files
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_bpe_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = bpe_lexicon.encode(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), ["doc_id"], decode=True)
+    return rows.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+                       F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+def op2_voronoi_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return knn_join.knn_join(_table(spark, sf_dir, "embeddings"))
+
+
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contained_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.store(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op9_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -21,6 +40,27 @@ def op10_ring_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("law", F.lit("rows")).withColumn("grown_shard", F.lit(None).cast("int"))
 
 
-QUERIES = {f.__name__: f for f in (op9_simhash_neardup, op10_ring_sharding)}
+QUERIES = {f.__name__: f for f in (op1_bpe_lexicon, op2_voronoi_knn, op5_decontaminate, op8_token_files, op9_simhash_neardup, op10_ring_sharding)}
 
-ORACLE_SQL: dict[str, str] = {}
+#: Hashing, tokenising and training have no SQL form; tests compare those with brute force.
+ORACLE_SQL: dict[str, str] = {
+    "op2_voronoi_knn": """
+        WITH fine AS (
+            SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS v FROM embeddings
+            WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+              AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x::DOUBLE))) = 0),
+        scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+            FROM fine q JOIN fine c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM scored)
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5""",
+    "op5_decontaminate": r"""
+        WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM documents),
+        b AS (SELECT item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM benchmark),
+        ds AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g FROM (SELECT *, unnest(range(1, len(w) - 3)) AS i FROM d)),
+        bs AS (SELECT DISTINCT item_id, array_to_string(w[i:i + 4], ' ') AS g FROM (SELECT *, unnest(range(1, len(w) - 3)) AS i FROM b)),
+        n AS (SELECT item_id, count(*) AS n_shingles FROM bs GROUP BY item_id),
+        s AS (SELECT doc_id, item_id, count(*) AS n_shared FROM ds JOIN bs USING (g) GROUP BY doc_id, item_id)
+        SELECT doc_id, item_id, n_shared, n_shingles, n_shared / n_shingles AS containment
+        FROM s JOIN n USING (item_id) WHERE n_shared >= 0.8 * n_shingles""",
+}
