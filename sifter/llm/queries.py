@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sifter.llm import bpe_lexicon, decontaminate, knn_join, ring, simhash, token_files
+from sifter.llm import bpe_lexicon, decontaminate, knn_join, pii, ring, simhash, token_files
+from sifter.llm.common import written
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +28,13 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contained_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op7_weak_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = written(pii.annotate(_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text"), "pii")
+    found = pii.decide(found, pii.fit(found))
+    counts = [F.size(F.filter("pii_base", lambda s: s["kind"] == F.lit(kind))).cast("long").alias(f"n_{kind}") for kind in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(pii.joined("pii_base").cast("binary"), 256).alias("base_sha256"), pii.joined("pii_spans").alias("spans"))
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.store(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -40,7 +48,7 @@ def op10_ring_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("law", F.lit("rows")).withColumn("grown_shard", F.lit(None).cast("int"))
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe_lexicon, op2_voronoi_knn, op5_decontaminate, op8_token_files, op9_simhash_neardup, op10_ring_sharding)}
+QUERIES = {f.__name__: f for f in (op1_bpe_lexicon, op2_voronoi_knn, op5_decontaminate, op7_weak_pii, op8_token_files, op9_simhash_neardup, op10_ring_sharding)}
 
 #: Hashing, tokenising and training have no SQL form; tests compare those with brute force.
 ORACLE_SQL: dict[str, str] = {
