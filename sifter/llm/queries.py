@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sifter.llm import bpe_lexicon, decontaminate, knn_join, pii, ring, simhash, token_files
+from sifter.llm import bpe_lexicon, decontaminate, knn_join, pii, ring, simhash, suffix_dedup, token_files
 from sifter.llm.common import written
 
 
@@ -24,6 +24,13 @@ def op2_voronoi_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return knn_join.knn_join(_table(spark, sf_dir, "embeddings"))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = suffix_dedup.repeated_bytes(_table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
+    return rows.select("doc_id", (F.octet_length("kept") + removed).cast("long").alias("n_bytes"), removed.alias("n_removed"),
+                       F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contained_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -48,7 +55,9 @@ def op10_ring_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("law", F.lit("rows")).withColumn("grown_shard", F.lit(None).cast("int"))
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe_lexicon, op2_voronoi_knn, op5_decontaminate, op7_weak_pii, op8_token_files, op9_simhash_neardup, op10_ring_sharding)}
+QUERIES = {f.__name__: f for f in (
+    op1_bpe_lexicon, op2_voronoi_knn, op3_suffix_dedup, op5_decontaminate, op7_weak_pii, op8_token_files,
+    op9_simhash_neardup, op10_ring_sharding)}
 
 #: Hashing, tokenising and training have no SQL form; tests compare those with brute force.
 ORACLE_SQL: dict[str, str] = {
