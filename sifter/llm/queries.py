@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sifter.llm import bpe_lexicon, decontaminate, knn_join, pii, ring, simhash, suffix_dedup, token_files
+from sifter.llm import bpe_lexicon, decontaminate, knn_join, langid, pii, quality, ring, simhash, suffix_dedup, token_files
 from sifter.llm.common import written
 
 
@@ -31,10 +31,26 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op4_subword_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contained_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op6_language_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents (lang declared, source as host) and pages (lang attribute, address) with one
+    text model trained on the documents: doc_id or page_id, lang_id, lang_p, lang_ok."""
+    docs, pages = _table(spark, sf_dir, "documents"), langid.from_page(_table(spark, sf_dir, "pages"))
+    model = langid.train(docs, "text", "lang")
+    one = langid.identify(docs.select("doc_id", "text", "lang", "source"), model, "text", declared="lang", host="source")
+    two = langid.identify(pages.select("page_id", "text", "declared", "suffix", "host"), model, "text", "declared", "suffix", "host")
+    answer = ["lang_id", "lang_p", "lang_ok"]
+    return (one.select("doc_id", F.lit(None).cast("long").alias("page_id"), *answer)
+            .unionByName(two.select(F.lit(None).cast("long").alias("doc_id"), "page_id", *answer)))
+
+
 def op7_weak_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = written(pii.annotate(_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text"), "pii")
     found = pii.decide(found, pii.fit(found))
@@ -56,8 +72,8 @@ def op10_ring_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_bpe_lexicon, op2_voronoi_knn, op3_suffix_dedup, op5_decontaminate, op7_weak_pii, op8_token_files,
-    op9_simhash_neardup, op10_ring_sharding)}
+    op1_bpe_lexicon, op2_voronoi_knn, op3_suffix_dedup, op4_subword_quality, op5_decontaminate,
+    op6_language_fusion, op7_weak_pii, op8_token_files, op9_simhash_neardup, op10_ring_sharding)}
 
 #: Hashing, tokenising and training have no SQL form; tests compare those with brute force.
 ORACLE_SQL: dict[str, str] = {
