@@ -105,7 +105,7 @@ def _labelled(c: Column) -> Column:
     digits = _digits(c["text"])
     n = F.length(digits)
     last = F.right(c["before"], F.lit(1))
-    phone = c["text"].rlike(r"^\(?[0-9]{2,4}\)?[\x20.-][0-9]{3,4}[\x20.-][0-9]{3,4}$")
+    phone = c["text"].rlike(r"^(?:[0-9]{1,3}[\x20.-])?\(?[0-9]{2,4}\)?[\x20.-][0-9]{3,4}[\x20.-][0-9]{3,4}$")
     grouped = c["text"].rlike(r"^[0-9]{4}([\x20-])[0-9]{4}\1[0-9]{4}\1[0-9]{1,7}$")
     solid = c["text"].rlike(r"^[0-9]+$")
     apart = last.rlike(r"^[\s(\[\"'=:,;]?$") & c["after"].rlike(r"^[\s)\]\"',;:.!?]?$")
