@@ -4,12 +4,13 @@ Every query reads whole tables (no id subsets or row caps): ``documents`` is the
 corpus, ``benchmark`` the query set, ``embeddings`` the vector table,
 ``conversations`` the short texts scored for machine writing, and ``documents``
 joined to ``labels.quality = 1`` the language-model training set. The only
-limits are the features' own top-k reports (A7 top 10, F3 top 5, pair mode on
-each query's 3 best lexical matches).
+limits are the features' own top-k reports (A7 top 10, F3 top 5); pair mode takes
+every pair whose lexical score reaches a threshold.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,8 +31,7 @@ from sifter.plans import analysis as A
 from sifter.session import ship_package, shared_dir
 
 P: Params = DEFAULT
-PAIRS_PER_QUERY = 3  # pair mode drills into each query's 3 best lexical matches
-MSG_BITS = 16  # conversations key: conv_id * 2^16 + turn
+PAIR_MIN_LEX = 0.25  # pair mode takes all pairs of at least this lexical score
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,14 +54,11 @@ def bench(spark, sf):
 
 
 def messages(spark, sf):
-    c = table(spark, sf, "conversations")
-    return c.select((F.shiftleft(F.col("conv_id"), MSG_BITS) + F.col("turn")).alias("msg_id"), "text")
+    return table(spark, sf, "conversations").select(F.struct("conv_id", "turn").alias("msg_id"), "text")
 
 
 def split_msg(df: DataFrame) -> DataFrame:
-    return df.select(F.shiftright("msg_id", MSG_BITS).alias("conv_id"),
-                     (F.col("msg_id") - F.shiftleft(F.shiftright("msg_id", MSG_BITS), MSG_BITS)).alias("turn"),
-                     *[c for c in df.columns if c != "msg_id"])
+    return df.select("msg_id.conv_id", "msg_id.turn", *[c for c in df.columns if c != "msg_id"])
 
 
 def lm_train(spark, sf):
@@ -77,55 +74,55 @@ def vectors(spark, sf):
 # --------------------------------------------------------------------------- text (T*)
 
 def q_normalize_text(spark, sf):
-    return docs_by_id(spark, sf).select("doc_id", T.normalize(F.col("text")).alias("normalized"))
+    return docs(spark, sf).select("doc_id", T.normalize(F.col("text")).alias("normalized"))
 
 
 def q_tokenize(spark, sf):
-    d = docs_by_id(spark, sf).select("doc_id", T.raw_tokens(T.normalize(F.col("text"))).alias("t"))
+    d = docs(spark, sf).select("doc_id", T.raw_tokens(T.normalize(F.col("text"))).alias("t"))
     return d.select("doc_id", F.size("t").cast("long").alias("n_tokens"), F.array_join("t", " ").alias("tokens"))
 
 
 def q_preprocess_tokens(spark, sf):
     kept = F.filter(T.raw_tokens(T.normalize(F.col("text"))), lambda t: T.keep_token(t, P))
-    d = docs_by_id(spark, sf).select("doc_id", kept.alias("k"))
+    d = docs(spark, sf).select("doc_id", kept.alias("k"))
     return d.select("doc_id", F.size("k").cast("long").alias("n_kept"), F.array_join("k", " ").alias("kept"))
 
 
 def q_lemmatize(spark, sf):
     kept = F.filter(T.raw_tokens(T.normalize(F.col("text"))), lambda t: T.keep_token(t, P))
-    toks = docs_by_id(spark, sf).select(F.explode_outer(kept).alias("token")).where(F.col("token").isNotNull())
+    toks = docs(spark, sf).select(F.explode_outer(kept).alias("token")).where(F.col("token").isNotNull())
     return (toks.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
             .select("token", T.lemma(F.col("token")).alias("lemma"), "n"))
 
 
 def q_preprocess_text(spark, sf):
-    d = docs_by_id(spark, sf).select("doc_id", T.lemmas(F.col("text"), P).alias("l"))
+    d = docs(spark, sf).select("doc_id", T.lemmas(F.col("text"), P).alias("l"))
     return d.select("doc_id", F.array_join("l", " ").alias("processed"), F.size("l").cast("long").alias("n_lemmas"))
 
 
 def q_split_sentences(spark, sf):
-    return (C.sentence_rows(docs_by_id(spark, sf), "doc_id")
+    return (C.sentence_rows(docs(spark, sf), "doc_id")
             .select("doc_id", F.col("sent_no").cast("long").alias("sent_no"), "sent"))
 
 
 def q_sentence_lengths(spark, sf):
-    return (C.sentence_rows(docs_by_id(spark, sf), "doc_id")
+    return (C.sentence_rows(docs(spark, sf), "doc_id")
             .select("doc_id", F.col("sent_no").cast("long").alias("sent_no"),
                     F.col("n_words").cast("long").alias("n_words")))
 
 
 def q_content_keys(spark, sf):
-    return K.content_keys(docs_by_id(spark, sf), K.model_id(P)).select("doc_id", "text_sha256", "cache_key")
+    return K.content_keys(docs(spark, sf), K.model_id(P)).select("doc_id", "text_sha256", "cache_key")
 
 
 # --------------------------------------------------------------------------- chunking (C*)
 
 def q_chunk_documents(spark, sf):
-    return C.chunk_documents(docs_by_id(spark, sf), "doc_id", P)
+    return C.chunk_documents(docs(spark, sf), "doc_id", P)
 
 
 def q_chunk_stats(spark, sf):
-    ch = C.chunk_documents(docs_by_id(spark, sf), "doc_id", P)
+    ch = C.chunk_documents(docs(spark, sf), "doc_id", P)
     return ch.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_chunks"),
                                     F.sum("n_words").cast("long").alias("total_words"),
                                     F.max("n_words").cast("long").alias("max_words"))
@@ -191,10 +188,30 @@ def q_mean_pool(spark, sf):
 
 
 def q_embed_with_cache(spark, sf):
-    ch = C.chunk_documents(docs_by_id(spark, sf), "doc_id", P).select("doc_id", "chunk_no", F.col("chunk").alias("text"))
-    path = f"{shared_dir(spark)}/embedding_cache"
-    out = K.embed_with_cache(ch, P, path)
-    return out.select("doc_id", "chunk_no", "text_sha256", "emb")
+    ch = C.chunk_documents(docs(spark, sf), "doc_id", P).select("doc_id", "chunk_no", F.col("chunk").alias("text"))
+    out = K.embed_with_cache(ch, P, _fresh_cache(spark))
+    nonzero = F.size(F.filter("emb", lambda x: x != 0)).cast("long")
+    return out.select("doc_id", "chunk_no", "text_sha256", nonzero.alias("n_nonzero"))
+
+
+def _fresh_cache(spark) -> str:
+    return f"{shared_dir(spark)}/embedding_cache-{uuid.uuid4().hex}"
+
+
+def _half_cached(spark, sf):
+    """All documents split by a cache that was filled with the English ones."""
+    path, d = _fresh_cache(spark), table(spark, sf, "documents")
+    K.embed_with_cache(d.where("lang = 'en'").select("text"), P, path)
+    model = K.model_id(P)
+    return K.split_hits(K.content_keys(d.select("doc_id", "text"), model), K.read_cache(spark, path, model))
+
+
+def q_cache_hits(spark, sf):
+    return _half_cached(spark, sf)[0].select("doc_id", "text_sha256", F.size("emb").cast("long").alias("dims"))
+
+
+def q_cache_misses(spark, sf):
+    return _half_cached(spark, sf)[1].select("text_sha256", F.length("text").cast("long").alias("n_chars"))
 
 
 # --------------------------------------------------------------------------- vectors (V*)
@@ -245,8 +262,8 @@ def _ai_bench(spark, sf):
 
 
 def _corpus(spark, sf, top_n):
-    r = A.compare_corpus(bench(spark, sf), docs(spark, sf), "item_id", "doc_id", P,
-                         ai=_ai_bench(spark, sf), top_n=top_n)
+    r = A.compare_corpus(bench(spark, sf), table(spark, sf, "documents"), "item_id", "doc_id", P,
+                         ai=_ai_bench(spark, sf), top_n=top_n, corpus_cols=("source",))
     return r.withColumn("rank", F.col("rank").cast("long"))
 
 
@@ -261,10 +278,9 @@ def q_corpus_top10(spark, sf):
 # --------------------------------------------------------------------------- pair mode (F*, P1)
 
 def _pairs(spark, sf, checkpoint=True):
-    """Each passage's 3 best lexical matches (a top-k report) as the pair list."""
-    lex = _lex(spark, sf).withColumn("lex9", F.round("lex", 9))
-    top = S.rank_top(lex, "item_id", "lex9", "doc_id", PAIRS_PER_QUERY)
-    pairs = top.select(F.col("item_id").alias("a_id"), F.col("doc_id").alias("b_id"))
+    """All (passage, document) pairs whose lexical score reaches PAIR_MIN_LEX."""
+    near = _lex(spark, sf).where(F.round("lex", 9) >= PAIR_MIN_LEX)
+    pairs = near.select(F.col("item_id").alias("a_id"), F.col("doc_id").alias("b_id"))
     return materialize(pairs) if checkpoint else pairs
 
 
@@ -309,7 +325,11 @@ def q_analyze_pairs(spark, sf):
     r = A.compare_pairs(_pairs(spark, sf, checkpoint=False), bench(spark, sf).withColumnRenamed("item_id", "a_id"),
                         docs(spark, sf).withColumnRenamed("doc_id", "b_id"), P, ai=ai)
     return _named(r.select("a_id", "b_id", "lex_score", "minhash_score", "semantic_score", "final_score", "level",
-                           F.size("fragments").cast("long").alias("n_fragments"), "ai_probability", "ai_label"))
+                           F.size("fragments").cast("long").alias("n_fragments"),
+                           F.array_join(F.transform("fragments", lambda x: F.concat_ws(
+                               "|", x["frag_doc1"], x["frag_doc2"])), "||").alias("fragment_texts"),
+                           "ai_detection.ai_probability", "ai_detection.ai_label",
+                           "ai_detection.perplexity", "ai_detection.burstiness"))
 
 
 # --------------------------------------------------------------------------- machine-written text (D*, P3)
@@ -341,6 +361,12 @@ def q_corpus_counts(spark, sf):
             .agg(F.count(F.lit(1)).alias("n_docs")))
 
 
+def q_corpus_catalog(spark, sf):
+    """S1's rule on the documents table: of each source the last document in path order stays."""
+    d = table(spark, sf, "documents").select("source", F.format_string("%s/%012d", "source", "doc_id").alias("path"))
+    return d.groupBy("source").agg(F.max("path").alias("path"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "normalize_text": q_normalize_text,
     "tokenize": q_tokenize,
@@ -378,4 +404,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "perplexity": q_perplexity,
     "ai_probability": q_ai_probability,
     "corpus_counts": q_corpus_counts,
+    "corpus_catalog": q_corpus_catalog,
+    "cache_hits": q_cache_hits,
+    "cache_misses": q_cache_misses,
 }

@@ -8,16 +8,15 @@ independently.
 
 from __future__ import annotations
 
-from sifter.catalog import MSG_BITS, P, PAIRS_PER_QUERY
+from sifter.catalog import P, PAIR_MIN_LEX
 from sifter.operators.cache import model_id
-from sifter.operators.scoring import CHUNK_BITS
 from sifter.sqlref import (ai_cte, burst_of, chunks_cte, dbl, dots_cte, hash_emb_cte, lemma_case, lemmas_expr,
                            lm_ctes, mh_cte, normalize_expr, processed_cte, s, sents_cte, sig_cte, tf_cte,
                            tfidf_cte, token_cte, wc_list_expr, with_, with_rec)
 from sifter.functions import text as T
 
-CU = 1 << CHUNK_BITS
-MSG = 1 << MSG_BITS
+CU = "struct_pack(i := id, c := chunk_no)"  # a chunk's key
+MSG = "struct_pack(i := conv_id, t := turn)"  # a message's key
 DIM = P.embedding_dim
 
 
@@ -44,14 +43,14 @@ DOC_EMB = [hash_emb_cte("qde", "(SELECT item_id AS uid, text AS txt FROM benchma
            dots_cte("ddot", "qde", "dde"),
            "dcos AS (SELECT b.item_id, d.doc_id, round(coalesce(x.dot, 0.0), 12) AS doc_cos "
            "FROM benchmark b CROSS JOIN documents d LEFT JOIN ddot x ON x.l = b.item_id AND x.r = d.doc_id)"]
-CHUNK_EMB = [hash_emb_cte("qce", f"(SELECT id * {CU} + chunk_no AS uid, chunk AS txt FROM qch)", DIM),
-             hash_emb_cte("dce", f"(SELECT id * {CU} + chunk_no AS uid, chunk AS txt FROM dch)", DIM)]
+CHUNK_EMB = [hash_emb_cte("qce", f"(SELECT {CU} AS uid, chunk AS txt FROM qch)", DIM),
+             hash_emb_cte("dce", f"(SELECT {CU} AS uid, chunk AS txt FROM dch)", DIM)]
 HITS = CHUNKS_Q + CHUNKS_D + CHUNK_EMB + [
     dots_cte("cdot", "qce", "dce"),
     f"""csc AS (SELECT q.uid AS q_uid, d.uid AS d_uid, round(coalesce(x.dot, 0.0), 12) AS score
-  FROM (SELECT id * {CU} + chunk_no AS uid FROM qch) q CROSS JOIN (SELECT id * {CU} + chunk_no AS uid FROM dch) d
+  FROM (SELECT {CU} AS uid FROM qch) q CROSS JOIN (SELECT {CU} AS uid FROM dch) d
   LEFT JOIN cdot x ON x.l = q.uid AND x.r = d.uid)""",
-    f"""hits AS (SELECT q_uid // {CU} AS item_id, d_uid // {CU} AS doc_id, avg(score) AS hit_mean, count(*) AS n_hits
+    f"""hits AS (SELECT q_uid.i AS item_id, d_uid.i AS doc_id, avg(score) AS hit_mean, count(*) AS n_hits
   FROM (SELECT *, row_number() OVER (PARTITION BY q_uid ORDER BY score DESC, d_uid) AS rk FROM csc) t
   WHERE rk <= {P.corpus_search_k} GROUP BY ALL)"""]
 SEM = DOC_EMB + HITS + [
@@ -83,15 +82,14 @@ CORPUS = LEX_SIGS + SEM + ai_cte("aiq", "benchmark", "item_id") + [
   LEFT JOIN mhs h ON h.q_id = m.item_id AND h.d_id = m.doc_id)""",
     f"""scored AS (SELECT p.item_id, p.doc_id, round(p.lex, 3) AS lex_score, round(p.mh, 3) AS minhash_score,
   round(p.sem, 3) AS semantic_score, {_final('p.lex', 'p.mh', 'p.sem')} AS final_score,
-  {_level(_final('p.lex', 'p.mh', 'p.sem'))} AS level, p.n_hits, a.ai_probability, a.ai_label
-  FROM parts p LEFT JOIN aiq a ON a.id = p.item_id)""",
+  {_level(_final('p.lex', 'p.mh', 'p.sem'))} AS level, p.n_hits, dd.source, a.perplexity, a.burstiness, a.ai_probability,
+  a.ai_label FROM parts p LEFT JOIN aiq a ON a.id = p.item_id LEFT JOIN documents dd ON dd.doc_id = p.doc_id)""",
     "ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY final_score DESC, doc_id) AS rank "
     "FROM scored)"]
 
 PAIRS = LEX + CHUNKS_Q + CHUNKS_D + CHUNK_EMB + [
-    f"pairs AS (SELECT q_id AS a_id, d_id AS b_id FROM (SELECT q_id, d_id, row_number() OVER "
-    f"(PARTITION BY q_id ORDER BY round(lex, 9) DESC, d_id) AS rn FROM lx) t WHERE rn <= {PAIRS_PER_QUERY})",
-    f"""pc AS (SELECT p.a_id, p.b_id, a.id * {CU} + a.chunk_no AS a_uid, b.id * {CU} + b.chunk_no AS b_uid,
+    f"pairs AS (SELECT q_id AS a_id, d_id AS b_id FROM lx WHERE round(lex, 9) >= {PAIR_MIN_LEX})",
+    f"""pc AS (SELECT p.a_id, p.b_id, struct_pack(i := a.id, c := a.chunk_no) AS a_uid, struct_pack(i := b.id, c := b.chunk_no) AS b_uid,
   a.chunk_no AS a_chunk, b.chunk_no AS b_chunk, a.chunk AS frag_a, b.chunk AS frag_b
   FROM pairs p JOIN qch a ON a.id = p.a_id JOIN dch b ON b.id = p.b_id)""",
     "pcu AS (SELECT DISTINCT a_uid AS l, b_uid AS r FROM pc)",
@@ -216,16 +214,23 @@ WHERE rank <= {P.pair_search_k}"""
   round(pp.lex, 3) AS lex_score, round(pp.mh, 3) AS minhash_score, round(pp.sem, 3) AS semantic_score,
   {_final('pp.lex', 'pp.mh', 'pp.sem')} AS final_score, {_level(_final('pp.lex', 'pp.mh', 'pp.sem'))} AS level,
   coalesce((SELECT count(*) FROM ft WHERE ft.a_id = pp.a_id AND ft.b_id = pp.b_id), 0) AS n_fragments,
-  a.ai_probability, a.ai_label
+  coalesce((SELECT string_agg(frag_a || '|' || frag_b, '||' ORDER BY frag_rank) FROM ft
+    WHERE ft.a_id = pp.a_id AND ft.b_id = pp.b_id), '') AS fragment_texts,
+  a.ai_probability, a.ai_label, a.perplexity, a.burstiness
 FROM pp LEFT JOIN aiq a ON a.id = pp.a_id"""
     q["burstiness"] = (f"SELECT conv_id, turn, round({burst_of('w')}, 9) AS burstiness FROM "
                        f"(SELECT conv_id, turn, {wc_list_expr('text')} AS w FROM conversations) x")
     q["bigram_model"] = with_(*lm_ctes("conversations", "conv_id")[:2]) + "SELECT w1, w2, c12 FROM lm_pairs"
-    q["perplexity"] = with_(*lm_ctes("conversations", f"conv_id * {MSG} + turn")) + \
-        (f"SELECT CAST(id // {MSG} AS BIGINT) AS conv_id, CAST(id % {MSG} AS BIGINT) AS turn, "
-         f"round(perplexity, 6) AS perplexity FROM ppl")
-    q["ai_probability"] = with_(*ai_cte("ai", "conversations", f"conv_id * {MSG} + turn")) + \
-        (f"SELECT CAST(id // {MSG} AS BIGINT) AS conv_id, CAST(id % {MSG} AS BIGINT) AS turn, perplexity, "
-         f"burstiness, ai_probability, ai_label FROM ai")
+    q["perplexity"] = with_(*lm_ctes("conversations", MSG)) + \
+        "SELECT id.i AS conv_id, id.t AS turn, round(perplexity, 6) AS perplexity FROM ppl"
+    q["ai_probability"] = with_(*ai_cte("ai", "conversations", MSG)) + \
+        "SELECT id.i AS conv_id, id.t AS turn, perplexity, burstiness, ai_probability, ai_label FROM ai"
     q["corpus_counts"] = "SELECT source, lang, count(*) AS n_docs FROM documents GROUP BY source, lang"
+    q["corpus_catalog"] = "SELECT source, max(source || '/' || lpad(CAST(doc_id AS VARCHAR), 12, '0')) AS path FROM documents GROUP BY source"
+    cached = "sha256(text) IN (SELECT sha256(text) FROM documents WHERE lang = 'en')"
+    q["cache_hits"] = f"SELECT doc_id, sha256(text) AS text_sha256, CAST({DIM} AS BIGINT) AS dims FROM documents WHERE {cached}"
+    q["cache_misses"] = f"SELECT DISTINCT sha256(text) AS text_sha256, length(text) AS n_chars FROM documents WHERE NOT {cached}"
+    q["embed_with_cache"] = with_rec(*CHUNKS_D, CHUNK_EMB[1]) + """SELECT c.id AS doc_id, c.chunk_no, sha256(c.chunk) AS text_sha256,
+  coalesce(e.n, 0) AS n_nonzero FROM dch c LEFT JOIN (SELECT uid, count(*) AS n FROM dce GROUP BY uid) e
+  ON e.uid.i = c.id AND e.uid.c = c.chunk_no"""
     return q

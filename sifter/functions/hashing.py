@@ -23,16 +23,6 @@ def token_hash28(t: Column) -> Column:
     return hex_prefix_int(t, 7)
 
 
-def bucket(t: Column, dim: int) -> Column:
-    """Feature-hashing bucket in [0, dim)."""
-    return F.pmod(hex_prefix_int(t, 8), F.lit(dim)).cast("int")
-
-
-def sign(t: Column) -> Column:
-    """+1 / -1 from the 9th hex digit of md5 (digits 0-7 are +1)."""
-    return F.when(F.substring(F.md5(t), 9, 1) < F.lit("8"), F.lit(1)).otherwise(F.lit(-1))
-
-
 def minhash_coefficients(n: int, seed: int) -> list[tuple[int, int]]:
     """``n`` pairs (a, b) of the hash family ``(a*h + b) mod (2^31 - 1)``, fixed by ``seed``."""
     rng = np.random.default_rng(seed)

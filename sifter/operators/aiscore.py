@@ -19,16 +19,13 @@ from sifter.params import Params
 EPS = 1e-9
 
 
-def lm_tokens(text: Column, params: Params) -> Column:
-    toks = F.regexp_extract_all(F.lower(text), F.lit(T.VECTOR_TOKEN_RE), 0)
-    if params.lm_max_tokens is not None:
-        toks = F.slice(toks, 1, params.lm_max_tokens)
-    return toks
+def lm_tokens(text: Column) -> Column:
+    return F.regexp_extract_all(F.lower(text), F.lit(T.VECTOR_TOKEN_RE), 0)
 
 
 def bigrams(df: DataFrame, id_col: str, params: Params, text_col: str = "text") -> DataFrame:
     """``(id, w1, w2, n)``: bigram occurrences per row, pre-aggregated per row."""
-    toks = df.select(id_col, lm_tokens(F.col(text_col), params).alias("t"))
+    toks = df.select(id_col, lm_tokens(F.col(text_col)).alias("t"))
     n1 = F.greatest(F.size("t") - 1, F.lit(0))
     pairs = toks.select(id_col, F.explode_outer(F.arrays_zip(F.slice("t", 1, n1).alias("w1"),
                                                              F.slice("t", 2, n1).alias("w2"))).alias("p"))
@@ -46,7 +43,7 @@ class BigramModel:
 
 def fit_bigram_model(train: DataFrame, params: Params, text_col: str = "text") -> BigramModel:
     """D1 model: counted with partial aggregation; the vocabulary size is one scalar."""
-    toks = train.select(lm_tokens(F.col(text_col), params).alias("t"))
+    toks = train.select(lm_tokens(F.col(text_col)).alias("t"))
     n1 = F.greatest(F.size("t") - 1, F.lit(0))
     pairs = (toks.select(F.explode_outer(F.arrays_zip(F.slice("t", 1, n1).alias("w1"),
                                                       F.slice("t", 2, n1).alias("w2"))).alias("p"))

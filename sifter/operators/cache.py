@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as TT
@@ -43,15 +44,17 @@ def read_cache(spark: SparkSession, path: str, model: str) -> DataFrame:
     """The cache rows of one model (partition pruning on ``model``); empty if absent."""
     try:
         cache = spark.read.schema(CACHE_SCHEMA).parquet(path)
-    except Exception:  # no table yet
-        return spark.createDataFrame([], CACHE_SCHEMA)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], CACHE_SCHEMA)  # no table yet
     return cache.where(F.col("model") == model)
 
 
 def split_hits(keyed: DataFrame, cache: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """E5: (hits with ``emb``, distinct missing keys with one text each)."""
+    """E5: (hits with ``emb``, distinct missing keys with one text each); NULL texts are neither."""
     hits = keyed.join(cache.select("text_sha256", "emb"), "text_sha256", "inner")
-    misses = (keyed.select("text_sha256", "text").dropDuplicates(["text_sha256"])
+    misses = (keyed.where(F.col("text").isNotNull()).select("text_sha256", "text").dropDuplicates(["text_sha256"])
               .join(cache.select("text_sha256"), "text_sha256", "left_anti"))
     return hits, misses
 

@@ -56,7 +56,7 @@ def _bounds_udf(max_words: int, overlap_words: int):
     def bounds(sents: pd.Series) -> pd.Series:
         out = []
         for ss in sents:
-            counts = [len(s.split()) for s in ss]
+            counts = [len(s.split()) for s in ss] if ss is not None else []
             prefix = np.concatenate(([0], np.cumsum(counts, dtype=np.int64)))
             out.append([{"s": a, "e": b, "n": int(prefix[b + 1] - prefix[a])}
                         for a, b in chunk_bounds(counts, max_words, overlap_words)])
@@ -78,13 +78,14 @@ def chunk_documents(docs: DataFrame, id_col: str, params: Params, text_col: str
     with their word counts (``len(s.split())`` per sentence); the chunk text is sliced
     from the sentence array in the JVM.
 
-    A document without sentences is one chunk holding its text (C3). An explicit
+    A document without sentences is one chunk holding its text (C3); a NULL text has no
+    chunk. An explicit
     ``chunk_overlap_words=0`` means no overlap.
     """
     ensure_workers(docs.sparkSession)
     bounds = _bounds_udf(params.chunk_max_words, params.chunk_overlap_words)
     none = F.lit(None).cast("int")
-    d = docs.select(id_col, text_col).withColumn("sents", T.sentences(F.col(text_col)))
+    d = docs.where(F.col(text_col).isNotNull()).select(id_col, text_col).withColumn("sents", T.sentences(F.col(text_col)))
     d = d.withColumn("b", F.when(F.size("sents") > 0, bounds(F.col("sents")))
                      .otherwise(F.array(F.struct(none.alias("s"), none.alias("e"), none.alias("n")))))
     # posexplode_outer: a plain generator would make the optimizer infer size(b) > 0 and

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -16,9 +16,9 @@ def bounded_broadcast(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
 
 
 def by_key(df: DataFrame, key: str, *cols: str, num_partitions: int | None = None) -> DataFrame:
-    """``df[key, *cols]`` hash-partitioned by ``key`` into ``num_partitions`` (default: the
-    larger of ``spark.sql.shuffle.partitions`` and the input's split count, so each
-    partition stays about one input split however large the corpus is).
+    """``df[key, *cols]`` hash-partitioned by ``key`` into ``num_partitions`` (default:
+    ``spark.sql.shuffle.partitions``, to be set for the size of the corpus; nothing runs
+    to find it out).
 
     Used once at the start of a corpus plan: the one exchange is reused by every
     branch that reads the corpus (the plan holds the same subtree), it spreads the
@@ -35,11 +35,7 @@ def by_key(df: DataFrame, key: str, *cols: str, num_partitions: int | None = Non
     otherwise each join infers its own ``isnotnull(key)`` and pushes it under the
     repartition, the branches differ, and the exchange is not reused."""
     if num_partitions is None:
-        conf = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-        try:
-            num_partitions = max(conf, df.rdd.getNumPartitions())
-        except Exception:  # noqa: BLE001 - no RDD view of the plan (e.g. a remote session)
-            num_partitions = conf
+        num_partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     return df.where(F.col(key).isNotNull()).select(key, *cols).repartition(num_partitions, key)
 
 
@@ -53,3 +49,14 @@ def materialize(df: DataFrame) -> DataFrame:
 
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def numbered(df: DataFrame, name: str, *order: str) -> DataFrame:
+    """Adds ``name``: 0, 1, ... in the given order. Rows are range-partitioned and sorted, frozen
+    by a checkpoint, and offset by the rows of earlier partitions (one row each)."""
+    rows = materialize(df.repartitionByRange(*order).sortWithinPartitions(*order)
+                       .withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id()))
+    parts = rows.groupBy("_pid").agg(F.min("_mid").alias("_m0"), F.count(F.lit(1)).alias("_n"))
+    parts = parts.withColumn("_off", F.sum("_n").over(Window.orderBy("_pid")) - F.col("_n"))
+    return (rows.join(parts.drop("_n"), "_pid").withColumn(name, F.col("_off") + F.col("_mid") - F.col("_m0"))
+            .drop("_pid", "_mid", "_m0", "_off"))

@@ -6,8 +6,8 @@ sum is L2-normalised (a normalised sum equals a normalised mean, so this is mean
 pooling of one-hot token vectors). Hashing runs in the JVM; only the resulting
 int arrays cross to Python, where one ``bincount`` per row makes the dense
 vector. A neural encoder can be plugged in as any function
-``list[str] -> np.ndarray (n, dim)``; it is run through ``predict_batch_udf``-style
-Arrow batches of ``encoder_batch_size`` rows, loaded once per Python worker.
+``list[str] -> np.ndarray (n, dim)``; it is called on ``encoder_batch_size`` texts at a
+time. Loading weights once per worker is up to the function (e.g. ``functools.cache``).
 """
 
 from __future__ import annotations
@@ -54,27 +54,28 @@ def dense_unit(ids: np.ndarray, dim: int) -> np.ndarray:
 def _densify_udf(dim: int):
     @F.pandas_udf(VECTOR)
     def densify(ids: pd.Series) -> pd.Series:
-        return pd.Series([dense_unit(a, dim) for a in ids])
+        return pd.Series([None if a is None else dense_unit(a, dim) for a in ids])
     return densify
 
 
 def _encoder_udf(encoder: Callable[[list[str]], np.ndarray], batch_size: int):
     @F.pandas_udf(VECTOR)
     def encode(texts: pd.Series) -> pd.Series:
-        out = []
-        vals = texts.tolist()
-        for i in range(0, len(vals), batch_size):
-            embs = np.asarray(encoder(vals[i:i + batch_size]), dtype=np.float32)
+        out = [None] * len(texts)
+        at = [i for i, t in enumerate(texts) if t is not None]
+        for k in range(0, len(at), batch_size):
+            part = at[k:k + batch_size]
+            embs = np.asarray(encoder([texts.iloc[i] for i in part]), dtype=np.float32)
             norms = np.linalg.norm(embs, axis=1, keepdims=True)
-            embs = np.where(norms > 0, embs / np.where(norms > 0, norms, 1), embs)
-            out.extend(list(embs))
+            for i, e in zip(part, np.where(norms > 0, embs / np.where(norms > 0, norms, 1), embs)):
+                out[i] = e
         return pd.Series(out)
     return encode
 
 
 def embed_column(text: Column, params: Params,
                  encoder: Callable[[list[str]], np.ndarray] | None = None) -> Column:
-    """Unit embedding of a text column (ARRAY<FLOAT>)."""
+    """Unit embedding of a text column (ARRAY<FLOAT>); NULL for a NULL text."""
     ensure_workers()
     if encoder is None:
         return _densify_udf(params.embedding_dim)(signed_buckets(text, params.embedding_dim))

@@ -16,21 +16,6 @@ from sifter.operators.common import materialize
 from sifter.params import Params
 from sifter.session import ensure_workers
 
-CHUNK_BITS = 20  # chunk uid = doc_id * 2^20 + chunk_no (chunk_no < 2^20)
-
-
-def chunk_uid(doc_id: Column, chunk_no: Column) -> Column:
-    return F.shiftleft(doc_id.cast("long"), CHUNK_BITS) + chunk_no.cast("long")
-
-
-def uid_doc(uid: Column) -> Column:
-    return F.shiftright(uid, CHUNK_BITS)
-
-
-def uid_chunk(uid: Column) -> Column:
-    return (uid - F.shiftleft(F.shiftright(uid, CHUNK_BITS), CHUNK_BITS)).cast("int")
-
-
 # --------------------------------------------------------------------------- A3 / A4
 
 def blend(lex: Column, mh: Column, sem: Column, params: Params) -> Column:
@@ -52,11 +37,10 @@ def chunk_hits(q_chunks: DataFrame, d_chunks: DataFrame, q_id: str, d_id: str,
                params: Params) -> DataFrame:
     """A1: each query chunk searches the whole corpus chunk index (top ``corpus_search_k``);
     hits are grouped per (query, corpus doc) -> ``(q_id, d_id, hit_mean, n_hits)``."""
-    left = q_chunks.select(chunk_uid(F.col(q_id), F.col("chunk_no")).alias("q_uid"), "emb")
-    right = d_chunks.select(chunk_uid(F.col(d_id), F.col("chunk_no")).alias("d_uid"), "emb")
-    hits = V.topk_similar(left, right, "q_uid", "d_uid", params.corpus_search_k, params)
-    return (hits.select(uid_doc(F.col("q_uid")).alias(q_id), uid_doc(F.col("d_uid")).alias(d_id), "score")
-            .groupBy(q_id, d_id)
+    left = q_chunks.select(q_id, F.col("chunk_no").alias("q_chunk"), "emb")
+    right = d_chunks.select(d_id, F.col("chunk_no").alias("d_chunk"), "emb")
+    hits = V.topk_similar(left, right, (q_id, "q_chunk"), (d_id, "d_chunk"), params.corpus_search_k, params)
+    return (hits.groupBy(q_id, d_id)
             .agg(F.avg("score").alias("hit_mean"), F.count(F.lit(1)).alias("n_hits")))
 
 
@@ -81,13 +65,13 @@ def similar_fragments(pairs: DataFrame, a_chunks: DataFrame, b_chunks: DataFrame
     the similarity grid, so a pair of long documents is split into more cells
     instead of landing in one task."""
     left = pairs.join(a_chunks.select("a_id", "chunk_no", "emb"), "a_id").select(
-        "a_id", "b_id", chunk_uid(F.col("a_id"), F.col("chunk_no")).alias("a_uid"), "emb")
+        "a_id", "b_id", F.col("chunk_no").alias("a_chunk"), "emb")
     right = pairs.join(b_chunks.select("b_id", "chunk_no", "emb"), "b_id").select(
-        "a_id", "b_id", chunk_uid(F.col("b_id"), F.col("chunk_no")).alias("b_uid"), "emb")
-    hits = V.topk_similar(left, right, "a_uid", "b_uid", params.pair_search_k, params,
+        "a_id", "b_id", F.col("chunk_no").alias("b_chunk"), "emb")
+    hits = V.topk_similar(left, right, "a_chunk", "b_chunk", params.pair_search_k, params,
                           group_cols=["a_id", "b_id"], min_score=params.fragment_threshold)
-    return hits.select("a_id", "b_id", uid_chunk(F.col("a_uid")).alias("a_chunk"),
-                       uid_chunk(F.col("b_uid")).alias("b_chunk"),
+    return hits.select("a_id", "b_id", F.col("a_chunk").cast("int").alias("a_chunk"),
+                       F.col("b_chunk").cast("int").alias("b_chunk"),
                        F.col("rank").alias("hit_rank"), F.col("score").alias("cosine"))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from sifter.functions.stopwords import ENGLISH_STOPWORDS
 
@@ -52,7 +52,6 @@ class Params:
 
     # machine-written text score
     lm_add_k: float = 1.0
-    lm_max_tokens: int | None = None  # None = whole text
     ai_ppl_scale: float = 200.0
     ai_threshold: float = 0.6
     ai_labels: tuple[str, str] = (AI_LABEL, HUMAN_LABEL)
@@ -63,7 +62,5 @@ class Params:
     broadcast_max_bytes: int = 256 << 20  # and its size as a float64 matrix
     score_digits: int = 12  # similarity scores are rounded to this before ranking
 
-    extra: dict = field(default_factory=dict, compare=False, hash=False)
-
 
 DEFAULT = Params()

@@ -96,13 +96,12 @@ def compare_corpus(queries: DataFrame, corpus: DataFrame, q_id: str, d_id: str,
     through the content-addressed cache."""
     sc = corpus_scores(queries, corpus, q_id, d_id, params, encoder, cache_path)
     out = sc.select(q_id, d_id, *score_columns(F.col("lex"), F.col("mh"), F.col("sem"), params), "n_hits")
+    out = S.rank_top(out, q_id, "final_score", d_id, top_n) if top_n is not None else S.ordinal_rank(out, q_id, "final_score", d_id)
     if corpus_cols:
         out = out.join(corpus.select(d_id, *corpus_cols), d_id, "left")
     if ai is not None:
-        out = out.join(ai.select(q_id, "ai_probability", "ai_label"), q_id, "left")
-    if top_n is not None:
-        return S.rank_top(out, q_id, "final_score", d_id, top_n)
-    return S.ordinal_rank(out, q_id, "final_score", d_id)
+        out = out.join(ai.select(q_id, "perplexity", "burstiness", "ai_probability", "ai_label"), q_id, "left")
+    return out
 
 
 def compare_pairs(pairs: DataFrame, a_docs: DataFrame, b_docs: DataFrame, params: Params,

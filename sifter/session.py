@@ -35,7 +35,7 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder for checkpoints and written intermediate tables.
 
     Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir); only when
-    neither is set (local tests) a private folder is created and registered.
+    neither is set and the master is local a private folder is created and registered.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
@@ -45,6 +45,8 @@ def shared_dir(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir() or conf_dir
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="sifter-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or os.path.abspath(local)

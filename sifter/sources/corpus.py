@@ -5,8 +5,9 @@ executors; the suffix filter is case-insensitive on ``.pdf/.docx/.txt``. Text is
 extracted per file in ``mapInPandas`` (the bytes never pass through the driver):
 
 * ``.txt``: UTF-8, undecodable bytes dropped, outer whitespace stripped;
-* ``.docx``: the ``w:p`` paragraphs of ``word/document.xml`` (standard-library
-  ``zipfile`` + XML parser), blank ones dropped, joined with newlines, stripped;
+* ``.docx``: the body's own paragraphs in ``word/document.xml`` (not those in tables), tabs
+  and breaks kept (standard-library ``zipfile`` + XML parser), blank ones dropped, joined
+  with newlines, stripped;
 * ``.pdf``: an extractor passed by the caller (``bytes -> str``); without one the
   file goes to the quarantine with a reason.
 
@@ -25,14 +26,16 @@ from urllib.parse import unquote
 from xml.etree import ElementTree
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as TT
 
+from sifter.operators.common import materialize, numbered
 from sifter.session import ensure_workers
 
 SUFFIXES = (".pdf", ".docx", ".txt")
 WORD_NS = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
+WORD_BREAKS = {f"{WORD_NS}tab": "\t", f"{WORD_NS}br": "\n", f"{WORD_NS}cr": "\n"}
 
 EXTRACTED = TT.StructType([
     TT.StructField("path", TT.StringType()),
@@ -50,9 +53,10 @@ def txt_text(data: bytes) -> str:
 def docx_text(data: bytes) -> str:
     with zipfile.ZipFile(io.BytesIO(data)) as z:
         root = ElementTree.fromstring(z.read("word/document.xml"))
+    body = root.find(f"{WORD_NS}body")
     paras = []
-    for p in root.iter(f"{WORD_NS}p"):
-        t = "".join(node.text or "" for node in p.iter(f"{WORD_NS}t"))
+    for p in body.findall(f"{WORD_NS}p") if body is not None else ():
+        t = "".join(node.text or "" if node.tag == f"{WORD_NS}t" else WORD_BREAKS.get(node.tag, "") for node in p.iter())
         if t.strip():
             paras.append(t)
     return "\n".join(paras).strip()
@@ -97,14 +101,9 @@ def extract_files(pdf_extractor: Callable[[bytes], str] | None = None):
 
 def read_files(spark: SparkSession, folder: str) -> DataFrame:
     """S1 listing: the folder's files with a supported suffix (any case), not recursive."""
-    raw = (spark.read.format("binaryFile").option("recursiveFileLookup", "false").load(folder)
-           .select("path", "content"))
-    lower = F.lower(F.col("path"))
-    keep = None
-    for suf in SUFFIXES:
-        c = lower.endswith(suf)
-        keep = c if keep is None else keep | c
-    return raw.where(keep)
+    any_case = ",".join("*." + "".join(f"[{c}{c.upper()}]" for c in suffix[1:]) for suffix in SUFFIXES)
+    return (spark.read.format("binaryFile").option("recursiveFileLookup", "false")
+            .option("pathGlobFilter", "{" + any_case + "}").load(folder).select("path", "content"))
 
 
 def load_corpus(spark: SparkSession, folder: str,
@@ -115,13 +114,11 @@ def load_corpus(spark: SparkSession, folder: str,
     with non-empty text."""
     ensure_workers(spark)
     files = read_files(spark, folder)
-    extracted = files.mapInPandas(extract_files(pdf_extractor), EXTRACTED)
+    extracted = materialize(files.mapInPandas(extract_files(pdf_extractor), EXTRACTED))  # each file is parsed once
     quarantine = extracted.where(F.col("error").isNotNull()).select("path", "name", "suffix", "error")
     ok = extracted.where(F.col("error").isNull() & F.col("text").isNotNull() & (F.col("text") != ""))
-    w = Window.partitionBy("name").orderBy(F.col("path").desc())
-    corpus = (ok.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1)
-              .select("name", "path", "text"))
-    return corpus, quarantine
+    last = ok.groupBy("name").agg(F.max("path").alias("path"))  # a common stem moves paths, not texts
+    return ok.join(last, ["name", "path"]).select("name", "path", "text"), quarantine
 
 
 def corpus_counts(corpus: DataFrame) -> DataFrame:
@@ -131,8 +128,6 @@ def corpus_counts(corpus: DataFrame) -> DataFrame:
 
 
 def with_doc_ids(corpus: DataFrame) -> DataFrame:
-    """Stable BIGINT ids for a named corpus, for the id-keyed operators: the name's
-    xxhash64 reduced to 43 bits (chunk uids keep 20 bits for the chunk number).
-    Collisions are possible but unlikely below about 10^5 names (probability
-    about n^2 / 2^44)."""
-    return corpus.withColumn("doc_id", F.pmod(F.xxhash64("name"), F.lit(1 << 43)))
+    """BIGINT ids for a named corpus, for the id-keyed operators: 0, 1, ... in name order, so
+    no two documents share one. The same names get the same ids."""
+    return numbered(corpus, "doc_id", "name")

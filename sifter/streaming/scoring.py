@@ -4,12 +4,14 @@ Each micro-batch of arriving documents ``(id, text)`` is scored against a static
 corpus with the batch plan (``compare_corpus``); the result of epoch ``e`` is
 written to ``<out>/epoch=e`` with ``overwrite``, so a replayed epoch replaces its
 own rows instead of duplicating them (the sink is idempotent per epoch). Stream
-progress lives in a checkpoint under the session's shared folder unless a
-location is given.
+progress lives in a checkpoint under the session's shared folder, one per output
+path, unless a location is given.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -25,7 +27,7 @@ def score_arrivals(arrivals: DataFrame, corpus: DataFrame, q_id: str, d_id: str,
     """Start the stream: ``arrivals`` is a streaming frame with ``q_id`` and ``text``;
     ``corpus`` a static frame with ``d_id`` and ``text``. Returns the running query."""
     spark = arrivals.sparkSession
-    ckpt = checkpoint or f"{shared_dir(spark)}/streams/score_arrivals"
+    ckpt = checkpoint or f"{shared_dir(spark)}/streams/{hashlib.sha256(out_path.encode()).hexdigest()[:16]}"
 
     def one_batch(batch: DataFrame, epoch_id: int) -> None:
         res = compare_corpus(batch.select(q_id, "text"), corpus, q_id, d_id, params, top_n=top_n)

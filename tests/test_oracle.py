@@ -7,9 +7,11 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from sifter.catalog import QUERIES
+from sifter.catalog_sql import oracle_sql
 
 TABLES = "documents embeddings benchmark labels conversations".split()
-NO_ORACLE = {"vector_topk_lsh", "embed_with_cache"}
+NO_ORACLE = {"vector_topk_lsh"}
 
 
 @pytest.fixture(scope="module")
@@ -25,10 +27,10 @@ def rows(cols, it):
 
 
 def test_every_query_has_oracle_or_is_listed():
-    assert set(E.queries()) - set(E.oracle_sql()) == NO_ORACLE
+    assert set(QUERIES) - set(oracle_sql()) == NO_ORACLE
 
 
-@pytest.mark.parametrize("name", sorted(set(E.oracle_sql())))
+@pytest.mark.parametrize("name", sorted(oracle_sql()))
 def test_query_matches_oracle(spark, con, name):
     sdf = E.queries()[name](spark, SF_SMALL)
     cols = sorted(sdf.columns)
