@@ -262,11 +262,21 @@ def _ai_bench(spark, sf):
 
 
 def _corpus(spark, sf, top_n):
-    r = A.compare_corpus(bench(spark, sf), table(spark, sf, "documents"), "item_id", "doc_id", P,
+    return _ranked(spark, sf, table(spark, sf, "documents"), top_n)
+
+
+def _ranked(spark, sf, corpus, top_n):
+    r = A.compare_corpus(bench(spark, sf), corpus, "item_id", "doc_id", P,
                          ai=_ai_bench(spark, sf), top_n=top_n, corpus_cols=("source",))
     return r.withColumn("rank", F.col("rank").cast("long"))
 
 
+def q_prepared_top10(spark, sf):
+    """Corpus mode from stored parts: the corpus is worked out once, then scored without its texts."""
+    path = f"{shared_dir(spark)}/corpus-{uuid.uuid4().hex}"
+    return _ranked(spark, sf, A.write_corpus(table(spark, sf, "documents"), "doc_id", P, path), 10)
+
+
 def q_analyze_corpus(spark, sf):
     return _corpus(spark, sf, None)
 
@@ -395,6 +405,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "corpus_semantic_score": q_corpus_semantic_score,
     "analyze_corpus": q_analyze_corpus,
     "corpus_top10": q_corpus_top10,
+    "prepared_top10": q_prepared_top10,
     "similar_fragments": q_similar_fragments,
     "top_fragments": q_top_fragments,
     "rerank_fragments": q_rerank_fragments,

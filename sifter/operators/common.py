@@ -6,11 +6,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
-    """Broadcast ``df`` only after counting it: a side is broadcast when it has at most
-    ``max_rows`` rows, otherwise it is returned as is and Spark shuffles both sides."""
-    n = df.count()
-    if n <= max_rows:
+#: Bytes of a broadcast side at most, by its columns' values.
+BROADCAST_BYTES = 64 << 20
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int, max_bytes: int = BROADCAST_BYTES) -> tuple[DataFrame, bool]:
+    """Broadcast ``df`` only after measuring it: at most ``max_rows`` rows and ``max_bytes`` of
+    values; otherwise it is returned as is and Spark shuffles both sides."""
+    size = sum((F.coalesce(F.octet_length(c), F.lit(0)) if kind in ("string", "binary") else F.lit(0) for c, kind in df.dtypes),
+               F.lit(16 * len(df.columns)))
+    rows, used = df.agg(F.count(F.lit(1)), F.sum(size.cast("long"))).first()
+    if rows <= max_rows and (used or 0) <= max_bytes:
         return F.broadcast(df), True
     return df, False
 

@@ -10,9 +10,10 @@ full ranking) are cut with a reliable checkpoint in the shared folder.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass, fields
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sifter.functions import text as T
@@ -50,23 +51,55 @@ def doc_embeddings(docs: DataFrame, id_col: str, params: Params, encoder: Encode
     return _embed(docs.select(id_col, "text"), params, "text", encoder, cache_path).select(id_col, "emb")
 
 
-def corpus_scores(queries: DataFrame, corpus: DataFrame, q_id: str, d_id: str, params: Params,
+@dataclass(frozen=True)
+class Prepared:
+    """What corpus mode reads of a corpus: term counts, signatures, chunk vectors, document
+    vectors, and the rows' other columns. Scoring reads no text."""
+
+    terms: DataFrame
+    signatures: DataFrame
+    chunks: DataFrame
+    vectors: DataFrame
+    rows: DataFrame
+
+
+def derive_corpus(corpus: DataFrame, d_id: str, params: Params, encoder: Encoder | None = None,
+                  cache_path: str | None = None) -> Prepared:
+    """The parts of a corpus as plans: nothing runs yet."""
+    rows, corpus = corpus.drop("text"), by_key(corpus, d_id, "text")
+    # second (small) exchange: the processed text is shared by the term and signature
+    # branches, so the regex preprocessing runs once per document
+    processed = by_key(L.with_processed(corpus, params), d_id, "processed")
+    return Prepared(L.term_counts(processed, d_id), L.minhash_signatures(processed, d_id, params),
+                    prepare_chunks(corpus, d_id, params, encoder, cache_path).select(d_id, "chunk_no", "emb"),
+                    doc_embeddings(corpus, d_id, params, encoder, cache_path), rows)
+
+
+def write_corpus(corpus: DataFrame, d_id: str, params: Params, path: str, **how) -> Prepared:
+    """Work out the parts of a corpus once and store them below ``path`` (a folder that all
+    executors share); later runs start from ``read_corpus``."""
+    parts = derive_corpus(corpus, d_id, params, **how)
+    for part in fields(Prepared):
+        getattr(parts, part.name).write.mode("overwrite").parquet(f"{path}/{part.name}")
+    return read_corpus(corpus.sparkSession, path)
+
+
+def read_corpus(spark: SparkSession, path: str) -> Prepared:
+    return Prepared(*[spark.read.parquet(f"{path}/{part.name}") for part in fields(Prepared)])
+
+
+def corpus_scores(queries: DataFrame, corpus: DataFrame | Prepared, q_id: str, d_id: str, params: Params,
                   encoder: Encoder | None = None, cache_path: str | None = None) -> DataFrame:
     """A1-A5 without the machine-text part: one row per (query, corpus document)
     ``(q_id, d_id, lex, mh, sem, n_hits)`` (unrounded parts)."""
-    corpus = by_key(corpus, d_id, "text")
+    if not isinstance(corpus, Prepared):
+        corpus = derive_corpus(corpus, d_id, params, encoder, cache_path)
     qp = L.with_processed(queries.select(q_id, "text"), params).select(q_id, "processed")
-    # second (small) exchange: the processed text is shared by the term and signature
-    # branches, so the regex preprocessing runs once per document
-    dp = by_key(L.with_processed(corpus, params), d_id, "processed")
-    lex = L.tfidf_similarity(L.term_counts(qp, q_id), L.term_counts(dp, d_id), q_id, d_id, params)
+    lex = L.tfidf_similarity(L.term_counts(qp, q_id), corpus.terms, q_id, d_id, params)
     q_sig = L.minhash_signatures(qp, q_id, params)
-    d_sig = L.minhash_signatures(dp, d_id, params)
-    mh = L.minhash_similarity(q_sig, d_sig, q_id, d_id, params, mark_empty=True).select(q_id, d_id, "mh")
-    hits = S.chunk_hits(prepare_chunks(queries, q_id, params, encoder, cache_path),
-                        prepare_chunks(corpus, d_id, params, encoder, cache_path), q_id, d_id, params)
-    dense = S.doc_cosines(doc_embeddings(queries, q_id, params, encoder, cache_path),
-                          doc_embeddings(corpus, d_id, params, encoder, cache_path), q_id, d_id, params)
+    mh = L.minhash_similarity(q_sig, corpus.signatures, q_id, d_id, params, mark_empty=True).select(q_id, d_id, "mh")
+    hits = S.chunk_hits(prepare_chunks(queries, q_id, params, encoder, cache_path), corpus.chunks, q_id, d_id, params)
+    dense = S.doc_cosines(doc_embeddings(queries, q_id, params, encoder, cache_path), corpus.vectors, q_id, d_id, params)
     out = (dense.join(lex, [q_id, d_id], "left").join(mh, [q_id, d_id], "left")
            .join(hits, [q_id, d_id], "left"))
     return out.select(
@@ -84,7 +117,7 @@ def score_columns(lex: Column, mh: Column, sem: Column, params: Params) -> list[
             S.level(final, params).alias("level")]
 
 
-def compare_corpus(queries: DataFrame, corpus: DataFrame, q_id: str, d_id: str, params: Params,
+def compare_corpus(queries: DataFrame, corpus: DataFrame | Prepared, q_id: str, d_id: str, params: Params,
                    ai: DataFrame | None = None, top_n: int | None = None,
                    encoder: Encoder | None = None, corpus_cols: tuple[str, ...] = (),
                    cache_path: str | None = None) -> DataFrame:
@@ -93,12 +126,14 @@ def compare_corpus(queries: DataFrame, corpus: DataFrame, q_id: str, d_id: str,
 
     ``ai`` = ``ai_score`` rows of the queries (A9); ``corpus_cols`` are carried from the
     corpus (A8, e.g. a path or source column); ``cache_path`` routes every embedding
-    through the content-addressed cache."""
+    through the content-addressed cache. A ``Prepared`` corpus is scored from its stored
+    parts."""
     sc = corpus_scores(queries, corpus, q_id, d_id, params, encoder, cache_path)
     out = sc.select(q_id, d_id, *score_columns(F.col("lex"), F.col("mh"), F.col("sem"), params), "n_hits")
     out = S.rank_top(out, q_id, "final_score", d_id, top_n) if top_n is not None else S.ordinal_rank(out, q_id, "final_score", d_id)
     if corpus_cols:
-        out = out.join(corpus.select(d_id, *corpus_cols), d_id, "left")
+        rows = corpus.rows if isinstance(corpus, Prepared) else corpus
+        out = out.join(rows.select(d_id, *corpus_cols), d_id, "left")
     if ai is not None:
         out = out.join(ai.select(q_id, "perplexity", "burstiness", "ai_probability", "ai_label"), q_id, "left")
     return out

@@ -17,15 +17,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sifter.params import Params
-from sifter.plans.analysis import compare_corpus
+from sifter.plans.analysis import Prepared, compare_corpus
 from sifter.session import shared_dir
 
 
-def score_arrivals(arrivals: DataFrame, corpus: DataFrame, q_id: str, d_id: str, params: Params,
+def score_arrivals(arrivals: DataFrame, corpus: DataFrame | Prepared, q_id: str, d_id: str, params: Params,
                    out_path: str, checkpoint: str | None = None, top_n: int | None = 10,
                    available_now: bool = True, processing_time: str | None = None) -> StreamingQuery:
     """Start the stream: ``arrivals`` is a streaming frame with ``q_id`` and ``text``;
-    ``corpus`` a static frame with ``d_id`` and ``text``. Returns the running query."""
+    ``corpus`` a static frame with ``d_id`` and ``text``, or better a prepared corpus,
+    which every micro-batch reads instead of working on the texts again. Returns the
+    running query."""
     spark = arrivals.sparkSession
     ckpt = checkpoint or f"{shared_dir(spark)}/streams/{hashlib.sha256(out_path.encode()).hexdigest()[:16]}"
 

@@ -133,3 +133,21 @@ def test_pair_list_is_a_threshold(spark):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SF_SMALL}/{t}.parquet'")
     want = con.sql(f"SELECT item_id, doc_id FROM ({oracle_sql()['tfidf_pair_similarity']}) WHERE lex >= {catalog.PAIR_MIN_LEX}").fetchall()
     assert sorted(map(tuple, catalog._pairs(spark, SF_SMALL).collect())) == sorted(want) and want
+
+
+def test_prepared_corpus_is_scored_without_texts(spark, tmp_path):
+    from sifter.params import DEFAULT
+    from sifter.plans import analysis as A
+
+    A.write_corpus(spark.read.parquet(f"{SF_SMALL}/documents.parquet"), "doc_id", DEFAULT, str(tmp_path / "corpus"))
+    ready = A.read_corpus(spark, str(tmp_path / "corpus"))
+    queries = spark.read.parquet(f"{SF_SMALL}/benchmark.parquet")
+    got = A.compare_corpus(queries, ready, "item_id", "doc_id", DEFAULT, top_n=3, corpus_cols=("source",))
+    assert "documents.parquet" not in got._jdf.queryExecution().toString() and got.count() == 120
+
+
+def test_broadcasts_are_bounded_by_bytes(spark):
+    from sifter.operators.common import bounded_broadcast
+
+    df = spark.createDataFrame([("x" * 100,)] * 50, "t string")
+    assert bounded_broadcast(df, 1000)[1] and not bounded_broadcast(df, 1000, 3000)[1] and not bounded_broadcast(df, 10)[1]
