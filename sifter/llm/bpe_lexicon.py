@@ -26,14 +26,17 @@ from sifter.llm.lexicon import Lexicon, compile_words
 from sifter.llm.pieces import MEMO_PIECES, PieceMemo
 
 #: Most words of the lexicon; rarer words are merged where they occur.
-LEXICON_WORDS = 1 << 17
+LEXICON_WORDS = 1 << 18
 
-_ASCII_WORD = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
+# Up to U+017F characters are their own normal form and every letter is one of these.
+_LATIN = re.compile("[!-~\u00a1-\u012f\u0131-\u017f]+")
+_LATIN_WORD = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00aa\u00b5\u00ba\u00df-\u00f6\u00f8-\u017f]+|[0-9\u00b2\u00b3\u00b9\u00bc-\u00be]"
+                         "|[^\\sa-z0-9\u00aa\u00b5\u00ba\u00df-\u00f6\u00f8-\u017f\u00b2\u00b3\u00b9\u00bc-\u00be]+")
 
 
 class WordBpe:
     """A BPE vocabulary with word ends, read from a tokenizers file. Normalising and cutting
-    of pieces that are not ASCII is left to the file's own normaliser and pre-tokeniser."""
+    of pieces beyond Latin letters is left to the file's own normaliser and pre-tokeniser."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
@@ -46,7 +49,8 @@ class WordBpe:
         chars = sorted(byte_chars().items())
         self.byte_of = {c: b for b, c in chars}
         self.inner, self.last = [vocab[c] for _, c in chars], [vocab[c + end] for _, c in chars]
-        self.rank = {vocab[a] << 32 | vocab[b]: (k, vocab[a + b]) for k, (a, b) in enumerate(map(tuple, model["merges"]))}
+        merges = [(vocab[a], vocab[b], vocab[a + b]) for a, b in model["merges"]]
+        self.rank, self.joined, self.none = {a << 32 | b: k for k, (a, b, _) in enumerate(merges)}, [c for _, _, c in merges], len(merges)
         size = 1 + max(max(vocab.values()), *self.special.values())
         self.tokens = [""] * size
         for token, i in [*vocab.items(), *((k.decode(), v) for k, v in self.special.items())]:
@@ -58,24 +62,27 @@ class WordBpe:
             parts = self.special_at.split(piece)
             if len(parts) > 1:
                 return [w for k, p in enumerate(parts) for w in ([self.special[p]] if k % 2 else self.words(p))]
-        if piece.isascii():
-            return _ASCII_WORD.findall(piece.lower())
+        text = piece.decode()
+        if _LATIN.fullmatch(text):
+            return [w.encode() for w in _LATIN_WORD.findall(text.lower())]
         byte_of = self.byte_of
-        return [bytes([byte_of[c] for c in word]) for word, _ in self.cut(self.normal(piece.decode()))]
+        return [bytes([byte_of[c] for c in word]) for word, _ in self.cut(self.normal(text))]
 
     def merge(self, word: bytes) -> list[int]:
         """The ids of a word: the lowest-ranked pair is joined, leftmost first, until none is left."""
         ids = [self.inner[b] for b in word[:-1]] + [self.last[word[-1]]]
         if len(ids) > 64:
             return self._merge_long(ids)
-        find, none = self.rank.get, (1 << 40, 0)
-        while len(ids) > 1:
-            ranks = [find(a << 32 | b, none) for a, b in zip(ids, ids[1:])]
-            best = min(ranks)
-            if best is none:
-                break
+        find, none = self.rank.get, self.none
+        ranks = [find(a << 32 | b, none) for a, b in zip(ids, ids[1:])]
+        while ranks and (best := min(ranks)) < none:
             k = ranks.index(best)
-            ids[k: k + 2] = [best[1]]
+            ids[k] = self.joined[best]
+            del ids[k + 1], ranks[k]
+            if k:
+                ranks[k - 1] = find(ids[k - 1] << 32 | ids[k], none)
+            if k < len(ranks):
+                ranks[k] = find(ids[k] << 32 | ids[k + 1], none)
         return ids
 
     def _merge_long(self, ids: list[int]) -> list[int]:
@@ -84,21 +91,21 @@ class WordBpe:
 
         find, n = self.rank.get, len(ids)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(*r, k, ids[k], ids[k + 1]) for k in range(n - 1) if (r := find(ids[k] << 32 | ids[k + 1]))]
+        heap = [(r, k, ids[k], ids[k + 1]) for k in range(n - 1) if (r := find(ids[k] << 32 | ids[k + 1])) is not None]
         heapq.heapify(heap)
         ids = [*ids, -1]
         while heap:
-            _, merged, k, a, b = heapq.heappop(heap)
+            rank, k, a, b = heapq.heappop(heap)
             nxt = after[k]
             if ids[k] != a or nxt >= n or ids[nxt] != b:
                 continue
-            ids[k], ids[nxt] = merged, -1
+            ids[k], ids[nxt] = self.joined[rank], -1
             after[k] = after[nxt]
             if after[k] < n:
                 before[after[k]] = k
             for i in (before[k], k):
-                if i >= 0 and after[i] < n and (r := find(ids[i] << 32 | ids[after[i]])):
-                    heapq.heappush(heap, (*r, i, ids[i], ids[after[i]]))
+                if i >= 0 and after[i] < n and (r := find(ids[i] << 32 | ids[after[i]])) is not None:
+                    heapq.heappush(heap, (r, i, ids[i], ids[after[i]]))
         return [i for i in ids if i >= 0]
 
     def decode(self, ids: list[int]) -> str:
@@ -118,27 +125,30 @@ def _vocabulary(name: str) -> WordBpe:
     return WordBpe(local(name))
 
 
-@lru_cache(maxsize=2)
-def _lexicon(name: str) -> Lexicon:
-    return Lexicon(local(name))
-
-
 class Encoder(PieceMemo):
     """Ids of texts: words by the lexicon, or merged where it does not have them."""
 
     def __init__(self, bpe: WordBpe, lexicon: Lexicon):
         super().__init__()
-        self.bpe, self.lexicon = bpe, lexicon
+        self.bpe, self.lexicon, self.words = bpe, lexicon, {}
 
     def cut(self, text: str) -> list[bytes]:
         return text.encode().split()
 
-    def ids_of(self, pieces: list[bytes]) -> list[list[int]]:
-        cut = [self.bpe.words(p) for p in pieces]
-        words = list(dict.fromkeys(w for ws in cut for w in ws if type(w) is bytes))
-        numbers = self.lexicon.numbers(words).tolist()
-        of = {w: self.lexicon.output(n) if n >= 0 else self.bpe.merge(w) for w, n in zip(words, numbers, strict=True)}
-        return [[i for w in ws for i in (of[w] if type(w) is bytes else (w,))] for ws in cut]
+    def ids_of(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.words) > MEMO_PIECES:
+            self.words.clear()
+        cut, of = [self.bpe.words(p) for p in pieces], self.words
+        new = [w for w in dict.fromkeys(w for ws in cut for w in ws) if type(w) is bytes and w not in of]
+        of.update((w, self.lexicon.output(n) if n >= 0 else self.bpe.merge(w)) for w, n in zip(new, self.lexicon.numbers(new).tolist(), strict=True))
+        found = [of[ws[0]] if len(ws) == 1 and type(ws[0]) is bytes else [i for w in ws for i in (of[w] if type(w) is bytes else (w,))] for ws in cut]
+        return np.array([i for ids in found for i in ids], np.uint32), np.fromiter(map(len, found), np.int64, len(found))
+
+
+@lru_cache(maxsize=1)
+def _encoder(vocabulary: str, lexicon: str) -> Encoder:
+    """One for all tasks of a worker process, so what it remembers lasts."""
+    return Encoder(_vocabulary(vocabulary), Lexicon(local(lexicon)))
 
 
 def word_counts(df: DataFrame, vocabulary: str, text: str = "text") -> DataFrame:
@@ -207,7 +217,7 @@ def encode(df: DataFrame, path: str, keys: list[str], text: str = "text", most:
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema[:-1]] + ["ids binary"] + ["decoded string"] * decode)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(_vocabulary(vocabulary), _lexicon(lexicon))
+        encoder = _encoder(vocabulary, lexicon)
         for batch in batches:
             for first, texts in text_blocks(batch.column(batch.num_columns - 1)):
                 ids, ends = encoder.encode(texts)

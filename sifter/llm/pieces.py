@@ -2,57 +2,70 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from itertools import islice
 
 import numpy as np
 
 from sifter.llm.common import ragged
 
-#: A worker forgets the pieces it has met beyond this many.
-MEMO_PIECES = 1 << 18
+#: A worker remembers so many pieces, those it meets first; further ones for a block of texts.
+MEMO_PIECES = 1 << 19
+
+
+class _Codes(dict):
+    """Numbers keys in the order in which they are first looked up."""
+
+    def __missing__(self, key):
+        code = self[key] = len(self)
+        return code
 
 
 class PieceMemo:
-    """Subclasses say how to ``cut`` a text and which ``ids`` new pieces have."""
+    """Subclasses say how to ``cut`` a text and which ids new pieces have."""
 
     def __init__(self):
-        self.forget()
+        self.codes, self.learnt = _Codes(), 0
+        self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
+        self.at, self.size = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
 
     def cut(self, text: str) -> list:
         raise NotImplementedError
 
-    def ids_of(self, pieces: list) -> list[Sequence[int]]:
+    def ids_of(self, pieces: list) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all pieces in one array, number of ids of each)."""
         raise NotImplementedError
 
-    def forget(self) -> None:
-        self.known: dict = {}
-        self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
-        self.at, self.size = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
-
-    def learn(self, pieces: list) -> None:
-        found = self.ids_of(pieces)
-        lengths = np.fromiter(map(len, found), np.int64, len(found))
-        first, total = len(self.known), int(lengths.sum())
-        while first + len(pieces) > len(self.at):
+    def _learn(self, pieces: list) -> None:
+        ids, lengths = self.ids_of(pieces)
+        first, last = self.learnt, self.learnt + len(pieces)
+        while last > len(self.at):
             self.at, self.size = (np.concatenate((x, np.zeros_like(x))) for x in (self.at, self.size))
-        while self.used + total > len(self.ids):
+        while self.used + len(ids) > len(self.ids):
             self.ids = np.concatenate((self.ids, np.zeros_like(self.ids)))
-        self.ids[self.used: self.used + total] = np.fromiter((i for ids in found for i in ids), np.uint32, total)
-        self.at[first: first + len(pieces)] = self.used + np.cumsum(lengths) - lengths
-        self.size[first: first + len(pieces)] = lengths
-        self.used += total
-        self.known.update(zip(pieces, range(first, first + len(pieces)), strict=True))
+        self.ids[self.used: self.used + len(ids)] = ids
+        self.at[first:last] = self.used + np.cumsum(lengths) - lengths
+        self.size[first:last] = lengths
+        self.used, self.learnt = self.used + len(ids), last
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in one array, where each text's ids start and the last end)."""
-        if len(self.known) > MEMO_PIECES:
-            self.forget()
-        cut = [self.cut(t) for t in texts]
-        pieces = [p for ps in cut for p in ps]
-        new = [p for p in dict.fromkeys(pieces) if p not in self.known]
-        if new:
-            self.learn(new)
-        codes = np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
+        full = self.learnt
+        codes, ends = [], [0]
+        for t in texts:
+            codes += map(self.codes.__getitem__, self.cut(t))
+            ends.append(len(codes))
+        codes = np.array(codes, np.int64)
+        new = []
+        if len(self.codes) > full:
+            new = list(islice(reversed(self.codes), len(self.codes) - full))[::-1]
+            self._learn(new)
         sizes = self.size[codes]
-        ends = np.concatenate(([0], np.cumsum(sizes)))
-        return self.ids[ragged(self.at[codes], sizes)], ends[np.cumsum([0, *map(len, cut)])]
+        at = np.concatenate(([0], np.cumsum(sizes)))
+        out = self.ids[ragged(self.at[codes], sizes)], at[ends]
+        if self.learnt > MEMO_PIECES:
+            for piece in new[max(0, MEMO_PIECES - full):]:
+                del self.codes[piece]
+            kept = len(self.codes)
+            self.used = int(self.at[kept]) if kept < self.learnt else self.used
+            self.learnt = kept
+        return out

@@ -26,6 +26,8 @@ from sifter.llm.files import local, ship
 from sifter.llm.pieces import PieceMemo
 
 END_ID = 2
+#: Pieces handed to the library in one string.
+JOINED = 2000
 ROW_GROUP_BYTES = 16 << 20
 PAGE_BYTES = 256 << 10
 
@@ -35,24 +37,44 @@ _PIECE = re.compile(r"[ \t\n\r\x0b\x0c]*[^ \t\n\r\x0b\x0c]+|[ \t\n\r\x0b\x0c]+")
 _WHOLE = re.compile(r"[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]|<\|")
 
 
-@lru_cache(maxsize=2)
-def _tokenizer(name: str) -> Tokenizer:
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    return Tokenizer.from_file(local(name))
-
-
 class PieceEncoder(PieceMemo):
-    """Ids of texts by the tokenizers library."""
+    """Ids of texts by the tokenizers library. New pieces that begin with white space are put
+    in one string for it; the ids' byte lengths tell where each piece's ids end."""
 
     def __init__(self, tokenizer: Tokenizer):
         super().__init__()
         self.tokenizer = tokenizer
+        vocabulary = tokenizer.get_vocab(with_added_tokens=True)
+        self.bytes = np.zeros(1 + max(vocabulary.values()), np.int64)
+        for token, i in vocabulary.items():
+            self.bytes[i] = len(token)  # a byte-level token has one character a byte
 
     def cut(self, text: str) -> list[str]:
         return [text] if _WHOLE.search(text) else _PIECE.findall(text)
 
-    def ids_of(self, pieces: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+    def _encode(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def ids_of(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        joins = [p[0] in " \t\n\r\x0b\x0c" and not p.isspace() and not _WHOLE.search(p) for p in pieces]
+        many = [p for p, j in zip(pieces, joins, strict=True) if j]
+        found = self._encode([p for p, j in zip(pieces, joins, strict=True) if not j])
+        lengths, joined = np.zeros(len(pieces), np.int64), np.array(joins, bool)
+        lengths[~joined] = list(map(len, found))
+        ids = np.array([i for f in self._encode(["".join(many[k: k + JOINED]) for k in range(0, len(many), JOINED)]) for i in f], np.uint32)
+        ends = np.searchsorted(np.cumsum(self.bytes[ids]), np.cumsum([len(p.encode()) for p in many]), side="right") if many else np.zeros(0, np.int64)
+        lengths[joined] = np.diff(ends, prepend=0)
+        out = np.zeros(int(lengths.sum()), np.uint32)
+        apart = np.repeat(~joined, lengths)
+        out[apart], out[~apart] = [i for f in found for i in f], ids
+        return out, lengths
+
+
+@lru_cache(maxsize=2)
+def _encoder(name: str) -> PieceEncoder:
+    """One for all tasks of a worker process, so what it remembers lasts."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    return PieceEncoder(Tokenizer.from_file(local(name)))
 
 
 def write_tokens(df: DataFrame, path: str, vocabulary: str, doc_id: str = "doc_id", text: str = "text", end: int = END_ID) -> None:
@@ -70,7 +92,7 @@ def write_tokens(df: DataFrame, path: str, vocabulary: str, doc_id: str = "doc_i
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, before = PieceEncoder(_tokenizer(name)), TaskContext.get().partitionId(), 0
+        encoder, part, before = _encoder(name), TaskContext.get().partitionId(), 0
         for batch in batches:
             for first, texts in text_blocks(batch.column(1)):
                 ids, offsets = encoder.encode(texts)
