@@ -14,6 +14,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sifter.llm.common import written
+
 KINDS = ("email", "ip", "card", "phone")
 #: The kind of spans that the classifier adds.
 ADDED = "number"
@@ -202,7 +204,10 @@ def redact(df: DataFrame, text: str = "text") -> DataFrame:
     spans, and nulls, stay as they are. All other columns are kept."""
     kept = df.columns
     df = annotate(df, text)
-    df = decide(df, fit(df)).withColumn("__order", F.array_sort(F.transform("pii_spans", lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop"), s["kind"].alias("kind")))))
+    # stored with both columns: a plan that needs the candidates alone would work the base
+    # spans out again for every candidate
+    weights = fit(written(df.select("pii_base", "pii_candidates"), "pii"))
+    df = decide(df, weights).withColumn("__order", F.array_sort(F.transform("pii_spans", lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop"), s["kind"].alias("kind")))))
     name = "`" + text.replace("`", "``") + "`"
     clean = F.expr(f"""aggregate(__order, named_struct('at', 0L, 'out', array('')), (a, s) -> if(s.stop <= a.at, a, named_struct(
         'at', s.stop, 'out', concat(a.out, array(substring({name}, cast(a.at + 1 as int), cast(greatest(s.start - a.at, 0L) as int)), concat('[', upper(s.kind), ']'))))),
