@@ -33,9 +33,9 @@ def suffix_array(keys: np.ndarray, ends: np.ndarray, owner: np.ndarray) -> tuple
     the symbols compared so far; that length doubles. Texts end with marks that differ and
     sort before all bytes, by ``owner``."""
     n = len(keys)
-    order = np.argsort(keys, kind="stable")
-    places = np.arange(n)
-    rank = np.empty(n, np.int64)
+    order = np.argsort(keys).astype(np.int32)
+    places, ends, owner = np.arange(n, dtype=np.int32), ends.astype(np.int32), owner.astype(np.int32)
+    rank = np.empty(n, np.int32)
     rank[order] = _numbered(keys[order], places)
     texts = int(owner[-1]) + 1 if n else 0
     length, open_ = PACK, places  # places in ``order`` whose group is not resolved
@@ -48,32 +48,34 @@ def suffix_array(keys: np.ndarray, ends: np.ndarray, owner: np.ndarray) -> tuple
         if not len(open_):
             return order, rank
         suffix = order[open_]
-        after = suffix + length
+        after = suffix + np.int32(length)
         inside = after < ends[suffix]
         follow = np.where(inside, rank[np.minimum(after, n - 1)] + texts, owner[suffix])
-        key = group * (n + texts + 1) + follow
-        by = np.argsort(key, kind="stable")
+        key = group.astype(np.int64) * (n + texts + 1) + follow
+        by = np.argsort(key)
         suffix, key = suffix[by], key[by]
         order[open_] = suffix
         rank[suffix] = _numbered(key, open_)
         length *= 2
 
 
-def common_prefixes(keys: np.ndarray, order: np.ndarray, rank: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Kasai's algorithm: for each place in ``order`` the common prefix with the place before.
-    A text's suffixes are taken from left to right, each starting from what the last one had
-    less one symbol; all texts advance together."""
+def common_prefixes(keys: np.ndarray, order: np.ndarray, rank: np.ndarray, starts: np.ndarray, ends: np.ndarray, least: int = 1) -> np.ndarray:
+    """Kasai's algorithm: for each place in ``order`` the common prefix with the place before,
+    worked out for suffixes of at least ``least`` symbols, 0 for shorter ones. A text's
+    suffixes are taken from left to right, each starting from what the last one had less
+    one symbol; all texts advance together."""
     n = len(keys)
-    before = np.full(n, -1, np.int64)
+    starts, ends = starts.astype(np.int32), ends.astype(np.int32)
+    before = np.full(n, -1, np.int32)
     before[order[1:]] = order[:-1]
-    prefix = np.zeros(n, np.int64)
-    sizes = ends[starts] - starts
+    prefix = np.zeros(n, np.int32)
+    sizes = ends[starts] - starts - np.int32(least - 1)
     by_size = np.argsort(-sizes, kind="stable")
     starts, sizes = starts[by_size], sizes[by_size]
-    have = np.zeros(len(starts), np.int64)
+    have = np.zeros(len(starts), np.int32)
     for step in range(int(sizes.max(initial=0))):
         alive = int(np.searchsorted(-sizes, -step))  # texts longer than step come first
-        i = starts[:alive] + step
+        i = starts[:alive] + np.int32(step)
         j = before[i]
         most = np.where(j >= 0, np.minimum(ends[i] - i, ends[np.maximum(j, 0)] - j), 0)
         h = np.minimum(np.maximum(have[:alive] - 1, 0), most)
@@ -81,11 +83,11 @@ def common_prefixes(keys: np.ndarray, order: np.ndarray, rank: np.ndarray, start
         while len(todo):
             at = h[todo]
             differ = keys[i[todo] + at] ^ keys[j[todo] + at]
-            gain = np.zeros(len(todo), np.int64)
-            for k in range(1, PACK + 1):
-                gain += differ >> (9 * (PACK - k)) == 0
-            h[todo] = np.minimum(at + gain, most[todo])
-            todo = todo[(gain == PACK) & (h[todo] < most[todo])]
+            top = np.frexp((differ & ~(differ >> 1)).astype(np.float64))[1]  # bits up to the highest that differs
+            gain = (9 * PACK - top) // 9
+            full = most[todo]
+            h[todo] = now = np.minimum(at + gain, full)
+            todo = todo[(differ == 0) & (now < full)]
         have[:alive] = h
         prefix[rank[i]] = h
     return prefix

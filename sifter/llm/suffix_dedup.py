@@ -90,8 +90,7 @@ def repeated_starts(texts: list[bytes], width: int = WIDTH) -> tuple[list[np.nda
     ends = (starts + sizes)[owner]
     keys = packed(data, ends)
     order, rank = suffix_array(keys, ends, owner)
-    prefix = common_prefixes(keys, order, rank, starts[sizes > 0], ends)
-    linked = prefix >= width
+    linked = common_prefixes(keys, order, rank, starts[sizes >= width], ends, width) >= width
     flag = linked.copy()
     flag[:-1] |= linked[1:]
     marks = np.zeros(len(data), bool)
@@ -133,28 +132,29 @@ def _scan(docs: DataFrame, kind: str, width: int, gram: int) -> DataFrame:
 
 
 def _cut(docs: DataFrame, kind: str, width: int) -> DataFrame:
-    """(doc_id, h, start, n, m, c, rid, data) of the regions listed in ``parts``; a task hands
-    out the bytes of equal regions once while it remembers them."""
+    """(doc_id, h, start, n, m, c, rid, data) of the regions listed in start, n, m and c; a task
+    hands out the bytes of equal regions once while it remembers them."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
         for batch in batches:
-            out = []
-            for k in range(batch.num_rows):
-                data = batch.column(2)[k].as_py().encode()
-                for part in {tuple(p.values()) for p in batch.column(3)[k].as_py()}:
-                    start, n, m, c = part
-                    piece = data[start: start + n + width - 1]
-                    rid = xxhash.xxh3_128_digest(piece, m & 0xFFFFFFFF)
-                    out.append((k, start, n, m, c, rid, None if rid in seen else piece))
+            ends = batch.column(3).offsets.to_numpy()
+            start, n, m, c = (batch.column(k).flatten() for k in range(3, 7))
+            starts, counts = start.to_numpy().tolist(), n.to_numpy().tolist()
+            rids, pieces = [], []
+            for k, text in enumerate(batch.column(2).to_pylist()):
+                data = text.encode()
+                for i in range(ends[k] - ends[0], ends[k + 1] - ends[0]):
+                    piece = data[starts[i]: starts[i] + counts[i] + width - 1]
+                    rid = xxhash.xxh3_128_digest(piece)
+                    rids.append(rid)
+                    pieces.append(None if rid in seen else piece)
                     seen.add(rid)
                 if len(seen) > 1 << 18:
                     seen.clear()
-            if out:
-                at, *rest = zip(*out, strict=True)
-                at = pa.array(at)
-                kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), *(pa.array(x, t) for x, t in zip(rest, kinds, strict=True))],
+            if rids:
+                at = pa.array(np.repeat(np.arange(batch.num_rows), np.diff(ends)))
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), start, n, m, c, pa.array(rids, pa.binary()), pa.array(pieces, pa.binary())],
                                                  ["doc_id", "h", "start", "n", "m", "c", "rid", "data"])
 
     return docs.mapInArrow(run, f"doc_id {kind}, h bigint, start bigint, n int, m bigint, c bigint, rid binary, data binary")
@@ -227,21 +227,25 @@ def _strip(docs: DataFrame, kind: str, width: int) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            spans, kept = [], []
-            for text, parts in zip(batch.column(1), batch.column(2), strict=True):
-                data, out = text.as_py().encode(), []
-                runs = []
-                for p in parts.as_py() or ():
-                    runs += [(p["start"] + a, p["start"] + b - 1 + width) for a, b in zip(p["ranges"][::2], p["ranges"][1::2], strict=True)]
-                for a, b in sorted(runs):
-                    if out and a <= out[-1][1]:
-                        out[-1][1] = max(out[-1][1], b)
-                    else:
-                        out.append([a, b])
-                edges = [0, *(x for s in out for x in s), len(data)]
-                spans.append([{"start": a, "stop": b} for a, b in out])
-                kept.append(b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))),
+            lists = batch.column(2)
+            ends, values = lists.offsets.to_numpy(), lists.values.to_numpy()
+            spans, sizes, kept = [], [], []
+            for k, text in enumerate(batch.column(1).to_pylist()):
+                data = text.encode()
+                runs = values[ends[k]: ends[k + 1]].reshape(-1, 2)
+                if len(runs):
+                    runs = runs[np.argsort(runs[:, 0])]
+                    reach = np.maximum.accumulate(runs[:, 1]) + width - 1
+                    first = np.flatnonzero(np.concatenate(([True], runs[1:, 0] > reach[:-1])))
+                    runs = np.column_stack((runs[first, 0], np.append(reach[first[1:] - 1], reach[-1])))
+                    edges = [0, *runs.ravel().tolist(), len(data)]
+                    data = b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
+                    spans.append(runs)
+                sizes.append(len(runs))
+                kept.append(data)
+            flat = np.concatenate([np.zeros((0, 2), np.int64), *spans])
+            pairs = pa.StructArray.from_arrays([pa.array(flat[:, 0]), pa.array(flat[:, 1])], ["start", "stop"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(np.cumsum([0, *sizes]), pa.int32()), pairs),
                                               pa.array(kept, pa.binary())], ["doc_id", "spans", "kept"])
 
     return docs.mapInArrow(run, f"doc_id {kind}, spans array<struct<start:bigint,stop:bigint>>, kept binary")
@@ -263,7 +267,8 @@ def repeated_bytes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", wi
     common = scanned.groupBy("m").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > 1)
     lists = scanned.join(common, "m").groupBy("doc_id", "h").agg(F.collect_list(F.struct("start", "n", "m", "c")).alias("parts"))
     parts = written(lists, "candidates")
-    cut = written(_cut(_same(docs, parts, "inner"), kind, width), "pieces")
+    found = _same(docs, parts, "inner").select("doc_id", "h", "text", *[F.col("parts")[c].alias(c) for c in ("start", "n", "m", "c")])
+    cut = written(_cut(found, kind, width), "pieces")
 
     distinct = cut.groupBy("rid", "m", "n").agg(F.count(F.lit(1)).alias("copies"), F.first("data", ignorenulls=True).alias("data"), F.max("c").alias("c"))
     subs = F.ceil(F.col("c") / F.lit(split))
@@ -275,6 +280,7 @@ def repeated_bytes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", wi
     inner = solved.where("ranges is not null").select("rid", "ranges")
     across = _merge_shards(solved.where("digest is not null"))
     marked = whole.union(inner).union(across)
-    hits = (cut.select("doc_id", "h", "start", "rid").join(marked, "rid")
-            .groupBy("doc_id", "h").agg(F.collect_list(F.struct("start", "ranges")).alias("parts")))
-    return _strip(_same(docs, written(hits, "hits"), "left").select("doc_id", "text", "parts"), kind, width)
+    hits = cut.select("doc_id", "h", "rid", "start").join(marked, "rid").select("doc_id", "h", F.transform("ranges", lambda x: x + F.col("start")).alias("runs"))
+    hits = hits.groupBy("doc_id", "h").agg(F.flatten(F.collect_list("runs")).alias("runs"))  # first and behind-last start of each run
+    stripped = _same(docs, written(hits, "hits"), "left")
+    return _strip(stripped.select("doc_id", "text", F.coalesce("runs", F.array().cast("array<bigint>")).alias("runs")), kind, width)
