@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sifter.llm.common import prepare, text_blocks, written
+from sifter.operators.common import bounded_broadcast
 
 BUCKETS = 1 << 16
 #: Neighbouring trigrams overlap: their log-likelihoods count for this share each.
@@ -27,6 +28,8 @@ STRENGTH = 20.0
 #: Rows whose best language is less certain, or whose text has no letter, are rejected.
 LEAST = 0.5
 MAX_LANGUAGES = 64
+#: Evidence tables of more rows (each one number a language) are joined by a shuffle.
+BROADCAST_ROWS = 50_000
 
 
 def trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -146,8 +149,9 @@ def identify(df: DataFrame, model: tuple[list[str], np.ndarray], text: str, decl
     df = with_likelihoods(df, text, table).withColumns({f"__at_{n}": c for n, c in given.items()})
     light = written(df.select(*[F.col(f"__at_{n}").alias(n) for n in given], "__ll"), "evidence")
     found = evidence(light, size)
-    for name in given:
-        df = df.join(found[name].withColumnRenamed(name, f"__at_{name}"), f"__at_{name}", "left")
+    for name in given:  # a small table is broadcast, so the texts are not dealt out by host
+        table, _ = bounded_broadcast(found[name].withColumnRenamed(name, f"__at_{name}"), BROADCAST_ROWS)
+        df = df.join(table, f"__at_{name}", "left")
     none, corpus = F.array(*[F.lit(0.0)] * size), F.array(*map(F.lit, found["corpus"]))
     parts = F.arrays_zip(F.col("__ll").alias("t"), F.coalesce("__declared", none).alias("d"), F.coalesce("__suffix", none).alias("s"), F.coalesce("__host", corpus).alias("h"))
     df = df.withColumn("__sum", F.transform(parts, lambda x: x["t"] + x["d"] + x["s"] + x["h"]))
