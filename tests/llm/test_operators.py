@@ -242,6 +242,27 @@ def test_labelers_add_what_the_rules_miss(spark):
     assert got[200] == [("number", 6, 20)] and got[201] == []
 
 
+def test_numbers_side_by_side(spark):
+    cards, solid = ["4111 1111 1111 1111", "5500 0000 0000 0004"], ["4111111111111111", "5500000000000004"]
+    phones = ["(212) 555-0199", "(212) 555-0100", "(646) 555-0123"]
+    lists = {-1: cards, -2: solid, -3: phones, -4: solid * 3, -5: [phones[0], *cards], -6: phones * 50, -7: ["212 555 0199", "212 555 0100", "646 555 0123"]}
+    texts = {k: f"my {' '.join(x)} end" for k, x in lists.items()}
+    texts |= {-8: "at +1 (826) 555-4081 190.137.223.204 end", -9: "🙂 190.137.223.204 (826) 555-4081", -10: "no " + "7" * 3000 + " 1 2 3 4 5 6 7 8 9" * 200}
+    rows = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").union(rows)
+    found = pii.annotate(df)
+    got = {r[0]: [(s.kind, texts[r[0]][s.start: s.stop]) for s in r[1]] for r in pii.decide(found, pii.fit(found)).select("doc_id", "pii_spans").where("doc_id < 0").collect()}
+    for k, x in lists.items():
+        assert got[k] == [("number", n) for n in x]
+    assert got[-8] == [("ip", "190.137.223.204"), ("number", "1 (826) 555-4081")] and got[-9] == [("ip", "190.137.223.204"), ("number", "(826) 555-4081")]
+    assert got[-10] == []
+    clean = dict(pii.redact(df).where("doc_id < 0").collect())
+    assert clean[-2] == "my [NUMBER] [NUMBER] end" and clean[-8] == "at +[NUMBER] [IP] end"
+    # also where no run is a candidate by itself
+    only = spark.createDataFrame([(k, f"({200 + k}) 555-{k:04d} ({300 + k}) 555-{7 * k:04d}") for k in range(50)], "doc_id long, text string")
+    assert {r[1] for r in pii.redact(only).collect()} == {"[NUMBER] [NUMBER]"}
+
+
 def test_redaction(spark, odd):
     df = spark.createDataFrame([(1, "I am a@b.com at 1.2.3.4, +1 (377) 555-0271", 9), (2, "clean", 8), (3, None, 7)], "doc_id long, text string, n long")
     assert pairs(pii.redact(df)) == [(1, "I am [EMAIL] at [IP], [PHONE]", 9), (2, "clean", 8), (3, None, 7)]
