@@ -13,7 +13,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sifter.llm.common import prepare, ragged, text_blocks
@@ -143,6 +143,11 @@ class Scorer:
         return 1 / (1 + np.exp(np.clip(logit[:, 0] - logit[:, 1], -700, 700)))
 
 
+def sampled(doc_id: str, sample: int, total: int) -> Column:
+    """Whether the hash of an id is among the lowest ``sample`` of ``total`` (60 bits are compared)."""
+    return F.pmod(F.xxhash64(doc_id), F.lit(1 << 60)) < F.lit((sample << 60) // total)
+
+
 def training_rows(df: DataFrame, labels: DataFrame, label: str, doc_id: str = "doc_id", text: str = "text", sample: int = SAMPLE_ROWS) -> DataFrame:
     """(doc_id, text, y) of about ``sample`` labelled rows, chosen by a hash of the id. A row
     labelled more than once counts once, by the majority; null labels, ids and texts don't count."""
@@ -150,7 +155,7 @@ def training_rows(df: DataFrame, labels: DataFrame, label: str, doc_id: str = "d
              .agg((F.avg(label) >= 0.5).cast("int").alias("y")))
     total = known.count()
     if total > sample:
-        known = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(sample / total * (1 << 20)))
+        known = known.where(sampled("doc_id", sample, total))
     source = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).where(F.col(text).isNotNull())
     return source.join(F.broadcast(known), "doc_id")  # bounded by the sample
 

@@ -154,6 +154,12 @@ def test_quality_on_held_out_rows(spark):
     assert got.where((F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1) != F.col("held_out")).count() == 0
 
 
+def test_quality_sample_of_very_many_labels(spark):
+    ids = spark.range(20_000_000)
+    for total, want in ((2 * 10**9, 30), (10**10, 6)):
+        assert want / 3 < ids.where(quality.sampled("id", 3000, total)).count() < want * 2
+
+
 def test_quality_of_odd_rows(spark, odd, docs):
     labels = spark.createDataFrame([(3, 1), (4, 0), (4, 0), (4, None), (None, 1), (6, 1), (99, 0)], "doc_id long, quality int")
     got = quality.classify(odd, labels).collect()
