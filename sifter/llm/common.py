@@ -57,6 +57,17 @@ def text_blocks(texts: pa.Array, limit: int = 4 << 20) -> Iterator[tuple[int, li
         start = stop
 
 
+def byte_blocks(texts: pa.Array, limit: int = 4 << 20) -> Iterator[tuple[int, list[bytes]]]:
+    """Like ``text_blocks``, with each text as its UTF-8 bytes."""
+    data = texts.cast(pa.binary())
+    sizes = np.asarray(pa.compute.fill_null(pa.compute.binary_length(data), 0), dtype=np.int64)
+    start = 0
+    while start < len(sizes):
+        stop = start + max(1, int(np.searchsorted(np.cumsum(sizes[start:]), limit)))
+        yield start, [t if t is not None else b"" for t in data.slice(start, stop - start).to_pylist()]
+        start = stop
+
+
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The indices starts[0], starts[0]+1, ..., starts[1], ... of consecutive runs."""
     total = int(lengths.sum())

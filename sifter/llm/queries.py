@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sifter.llm import bpe_lexicon, decontaminate, knn_join, langid, pii, quality, ring, simhash, suffix_dedup, token_files
+from sifter.llm import (bpe_lexicon, decontaminate, knn_join, langid, lexical_search, line_dedup, phrases, pii, quality, ring, simhash,
+                        suffix_dedup, token_files)
 from sifter.llm.common import written
 
 
@@ -71,9 +72,23 @@ def op10_ring_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("law", F.lit("rows")).withColumn("grown_shard", F.lit(None).cast("int"))
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = line_dedup.drop_repeated_lines(_table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.ranked_search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(_table(spark, sf_dir, "documents"), 2000)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_bpe_lexicon, op2_voronoi_knn, op3_suffix_dedup, op4_subword_quality, op5_decontaminate,
-    op6_language_fusion, op7_weak_pii, op8_token_files, op9_simhash_neardup, op10_ring_sharding)}
+    op6_language_fusion, op7_weak_pii, op8_token_files, op9_simhash_neardup, op10_ring_sharding,
+    op11_line_dedup, op12_lexical_search, op13_collocations)}
 
 #: Hashing, tokenising and training have no SQL form; tests compare those with brute force.
 ORACLE_SQL: dict[str, str] = {
@@ -96,4 +111,41 @@ ORACLE_SQL: dict[str, str] = {
         s AS (SELECT doc_id, item_id, count(*) AS n_shared FROM ds JOIN bs USING (g) GROUP BY doc_id, item_id)
         SELECT doc_id, item_id, n_shared, n_shingles, n_shared / n_shingles AS containment
         FROM s JOIN n USING (item_id) WHERE n_shared >= 0.8 * n_shingles""",
+    "op11_line_dedup": r"""
+        WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i
+                   FROM documents),
+        k AS (SELECT *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+        r AS (SELECT key, min(doc_id) AS first FROM k WHERE length(key) >= 10 GROUP BY key HAVING min(doc_id) <> max(doc_id)),
+        m AS (SELECT k.*, r.key IS NOT NULL AND r.first <> doc_id AS gone FROM k LEFT JOIN r USING (key))
+        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+            sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
+        FROM m GROUP BY doc_id""",
+    "op12_lexical_search": r"""
+        WITH d AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                     '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents),
+        b AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                                 '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+        c AS (SELECT count(*) FILTER (WHERE len(ts) > 0) AS nd, sum(len(ts))::BIGINT AS nt FROM d),
+        p AS (SELECT doc_id, term, count(*) AS tf, any_value(n) AS n FROM (SELECT doc_id, len(ts)::BIGINT AS n, unnest(ts) AS term FROM d) GROUP BY doc_id, term),
+        f AS (SELECT term, floor(1000 * ln((2 * any_value(nd) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM p, c GROUP BY term),
+        s AS (SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * nd) // nt))))::BIGINT AS score
+              FROM b JOIN p USING (term) JOIN f USING (term), c GROUP BY item_id, doc_id),
+        r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank FROM s WHERE score > 0)
+        SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 50""",
+    "op13_collocations": r"""
+        WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                                                      '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+        w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM p),
+        g AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, range(1, 6) AS s(k))),
+        f AS (SELECT lang, k, phrase, count(*) AS a FROM g GROUP BY lang, k, phrase),
+        n AS (SELECT lang, sum(a)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+        c AS (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE k >= 2 AND a >= 100),
+        t AS (SELECT lang, phrase, k, a, j, array_to_string(w[1:j], ' ') AS one, array_to_string(w[j + 1:k], ' ') AS two FROM (SELECT *, unnest(range(1, k)) AS j FROM c)),
+        s AS (SELECT t.lang, t.phrase, t.k, t.a, j, x.a AS l, y.a AS r, n, ((1000::HUGEINT * t.a * n) // (x.a::HUGEINT * y.a))::BIGINT AS score
+              FROM t JOIN f x ON x.lang = t.lang AND x.phrase = one JOIN f y ON y.lang = t.lang AND y.phrase = two JOIN n ON n.lang = t.lang),
+        m AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+        o AS (SELECT m.* FROM m WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.lang = m.lang AND c.k > m.k AND 100 * c.a >= 100 * m.a
+                                                  AND contains(' ' || c.phrase || ' ', ' ' || m.phrase || ' '))),
+        z AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM o)
+        SELECT lang, rank, phrase, a, l, r, n, score FROM z WHERE rank <= 2000""",
 }
