@@ -78,3 +78,69 @@ def base_spans(text):
                 "card": lambda: 16 <= len(digits) <= 19 and _luhn(digits), "phone": lambda: 8 <= len(digits) <= 15}[kind]()
 
     return [(kind, m.start(), m.end()) for kind in _BASE for m in re.finditer(_BASE[kind], text or "") if fine(kind, m[0])]
+
+
+_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def line_dedup(rows, least=10):
+    """(doc_id, n_lines, n_dropped, kept) of (doc_id, text) rows; a null id comes last."""
+    def key(line):
+        return line.strip(" \t\n\r\x0b\x0c").translate(_LOWER)
+
+    holders = {}
+    for i, t in rows:
+        for line in (t or "").split("\n"):
+            holders.setdefault(key(line), set()).add((i is None, i))
+    out = []
+    for i, t in rows:
+        lines = (t or "").split("\n")
+        stay = [x for x in lines if len(key(x)) < least or min(holders[key(x)], key=lambda h: (h[0], h[1] or 0)) == (i is None, i)]
+        out.append((i, len(lines), len(lines) - len(stay), "\n".join(stay)))
+    return out
+
+
+def ranked(docs, items, k=50):
+    """(item_id, rank, doc_id, score); items is a dict of texts."""
+    import math
+
+    def cut(t):
+        return re.findall("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+", (t or "").translate(_LOWER))
+
+    bags = [(i, Counter(cut(t))) for i, t in docs]
+    bags = [(i, b, sum(b.values())) for i, b in bags if b]
+    total, length = len(bags), sum(n for _, _, n in bags)
+    df = Counter(t for _, b, _ in bags for t in b)
+    out = []
+    for item, text in items.items():
+        asked = {t: math.floor(1000 * math.log((2 * total + 2) / (2 * df[t] + 1))) for t in set(cut(text)) if t in df}
+        scores = [(sum(w * (10**9 * b[t] // (1000 * b[t] + 20 * (50 + 50 * n * total // length))) for t, w in asked.items() if t in b), i) for i, b, n in bags]
+        best = sorted((-s, i is None, i or 0) for s, i in scores if s > 0)[:k]
+        out += [(item, r + 1, None if none else i, -s) for r, (s, none, i) in enumerate(best)]
+    return out
+
+
+def collocations(rows, top, least=100, longest=5):
+    """(lang, rank, phrase, a, l, r, n, score) of (lang, text) rows."""
+    counts, totals = Counter(), Counter()
+    for lang, text in rows:
+        for piece in re.split("[.,;:!?\x0a-\x0d]", (text or "").translate(_LOWER)):
+            words = re.findall("[^\x20\x09]+", piece)
+            totals[lang or "und"] += len(words)
+            counts.update((lang or "und", tuple(words[s: s + k])) for k in range(1, longest + 1) for s in range(len(words) - k + 1))
+    found = {g: a for g, a in counts.items() if a >= least and len(g[1]) > 1}
+    covered = Counter()
+    for (lang, words), a in found.items():
+        for k in range(2, len(words)):
+            for s in range(len(words) - k + 1):
+                covered[lang, words[s: s + k]] = max(covered[lang, words[s: s + k]], a)
+    out = []
+    for lang in totals:
+        rest = []
+        for (g_lang, w), a in found.items():
+            if g_lang == lang and covered[lang, w] < a:
+                cuts = [(1000 * a * totals[lang] // (counts[lang, w[:k]] * counts[lang, w[k:]]), k) for k in range(1, len(w))]
+                score, k = min(cuts)
+                rest.append((-score, -a, " ".join(w).encode(), counts[lang, w[:k]], counts[lang, w[k:]]))
+        out += [(lang, n + 1, p.decode(), -a, left, right, totals[lang], -s) for n, (s, a, p, left, right) in enumerate(sorted(rest)[:top])]
+    return out
