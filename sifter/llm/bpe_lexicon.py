@@ -12,7 +12,6 @@ import json
 import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from sifter.llm.common import prepare, text_blocks, written
+from sifter.llm.common import held, prepare, text_blocks, written
 from sifter.llm.files import local, ship, ship_bytes
 from sifter.llm.lexicon import Lexicon, compile_words
 from sifter.llm.pieces import MEMO_PIECES, PieceMemo
@@ -120,9 +119,8 @@ def byte_chars() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(others)}
 
 
-@lru_cache(maxsize=2)
 def _vocabulary(name: str) -> WordBpe:
-    return WordBpe(local(name))
+    return held(("word bpe", name), lambda: WordBpe(local(name)))
 
 
 class Encoder(PieceMemo):
@@ -130,25 +128,22 @@ class Encoder(PieceMemo):
 
     def __init__(self, bpe: WordBpe, lexicon: Lexicon):
         super().__init__()
-        self.bpe, self.lexicon, self.words = bpe, lexicon, {}
+        self.bpe, self.lexicon = bpe, lexicon
 
     def cut(self, text: str) -> list[bytes]:
         return text.encode().split()
 
     def ids_of(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.words) > MEMO_PIECES:
-            self.words.clear()
-        cut, of = [self.bpe.words(p) for p in pieces], self.words
-        new = [w for w in dict.fromkeys(w for ws in cut for w in ws) if type(w) is bytes and w not in of]
-        of.update((w, self.lexicon.output(n) if n >= 0 else self.bpe.merge(w)) for w, n in zip(new, self.lexicon.numbers(new).tolist(), strict=True))
+        cut = [self.bpe.words(p) for p in pieces]
+        new = [w for w in dict.fromkeys(w for ws in cut for w in ws) if type(w) is bytes]
+        of = {w: self.lexicon.output(n) if n >= 0 else self.bpe.merge(w) for w, n in zip(new, self.lexicon.numbers(new).tolist(), strict=True)}
         found = [of[ws[0]] if len(ws) == 1 and type(ws[0]) is bytes else [i for w in ws for i in (of[w] if type(w) is bytes else (w,))] for ws in cut]
         return np.array([i for ids in found for i in ids], np.uint32), np.fromiter(map(len, found), np.int64, len(found))
 
 
-@lru_cache(maxsize=1)
 def _encoder(vocabulary: str, lexicon: str) -> Encoder:
     """One for all tasks of a worker process, so what it remembers lasts."""
-    return Encoder(_vocabulary(vocabulary), Lexicon(local(lexicon)))
+    return held(("word encoder", vocabulary, lexicon), lambda: Encoder(WordBpe(local(vocabulary)), Lexicon(local(lexicon))))
 
 
 def word_counts(df: DataFrame, vocabulary: str, text: str = "text") -> DataFrame:

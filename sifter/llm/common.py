@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import TypeVar
 
 import numpy as np
 import pyarrow as pa
@@ -12,17 +13,42 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sifter.session import ensure_workers, shared_dir
 
-#: Rows per Arrow batch: bounds a worker's memory when texts are long.
+#: Rows and bytes per Arrow batch: bound a worker's memory when texts are long.
 ARROW_ROWS = 1000
+ARROW_BYTES = 8 << 20
+#: Bytes of texts that a task works on at once.
+BLOCK_BYTES = 1 << 20
+
+T = TypeVar("T")
 
 
 def prepare(spark: SparkSession) -> None:
-    """Make the package importable in the workers and keep Arrow batches small."""
+    """Make the package importable in the workers and keep Arrow batches small, by rows and by
+    bytes (a batch has one row at least)."""
     ensure_workers(spark)
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     now = int(spark.conf.get(key, "10000"))
     if now <= 0 or now > ARROW_ROWS:
         spark.conf.set(key, str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
+
+
+_HELD: dict = {}
+
+
+def held(key: tuple, make: Callable[[], T]) -> T:
+    """What ``make`` gives, kept by the worker process for later tasks with the same key; a
+    worker keeps one such object, so those of other stages go first."""
+    if key not in _HELD:
+        release()
+        _HELD[key] = make()
+    return _HELD[key]
+
+
+def release() -> None:
+    """Drop what earlier stages left in this worker, and return free Arrow memory."""
+    _HELD.clear()
+    pa.default_memory_pool().release_unused()
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
@@ -46,7 +72,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def text_blocks(texts: pa.Array, limit: int = 4 << 20) -> Iterator[tuple[int, list[str]]]:
+def text_blocks(texts: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, list[str]]]:
     """(first row, texts) runs of at most about ``limit`` bytes, at least one row each;
     a null text comes as the empty one."""
     sizes = np.asarray(pa.compute.fill_null(pa.compute.binary_length(texts), 0), dtype=np.int64)
@@ -57,7 +83,7 @@ def text_blocks(texts: pa.Array, limit: int = 4 << 20) -> Iterator[tuple[int, li
         start = stop
 
 
-def byte_blocks(texts: pa.Array, limit: int = 4 << 20) -> Iterator[tuple[int, list[bytes]]]:
+def byte_blocks(texts: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, list[bytes]]]:
     """Like ``text_blocks``, with each text as its UTF-8 bytes."""
     data = texts.cast(pa.binary())
     sizes = np.asarray(pa.compute.fill_null(pa.compute.binary_length(data), 0), dtype=np.int64)

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sifter.llm.common import prepare, text_blocks, written
+from sifter.llm.common import prepare, release, text_blocks, written
 from sifter.operators.common import bounded_broadcast
 
 BUCKETS = 1 << 16
@@ -27,7 +27,14 @@ ALPHA = 0.5
 STRENGTH = 20.0
 #: Rows whose best language is less certain, or whose text has no letter, are rejected.
 LEAST = 0.5
-MAX_LANGUAGES = 64
+#: Languages that are told apart, the most frequent labels: 256 KB each, 128 MB in all. A rarer
+#: label is no language and says nothing as declared evidence; its rows are identified all the same.
+MAX_LANGUAGES = 512
+#: Languages whose counts a task holds before it hands them on.
+HELD_LANGUAGES = 64
+#: A row is rejected when the mean log-likelihood of its trigrams lies so many standard
+#: deviations below that of its best language.
+FIT = 8.0
 #: Evidence tables of more rows (each one number a language) are joined by a shuffle.
 BROADCAST_ROWS = 50_000
 
@@ -52,21 +59,32 @@ def train(df: DataFrame, text: str, label: str) -> tuple[list[str], np.ndarray]:
     adds up its trigrams before the shuffle; the table has BUCKETS rows a language."""
     prepare(df.sparkSession)
     source = df.where(F.col(label).isNotNull() & F.col(text).isNotNull()).select(F.col(label).cast("string").alias("lang"), F.col(text).alias("text"))
-    languages = sorted(r[0] for r in source.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect())
-    if len(languages) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    order = [F.col("n").desc(), F.col("lang")]
+    languages = sorted(r[0] for r in source.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(*order).limit(MAX_LANGUAGES).collect())
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros((len(languages), BUCKETS), np.int64)
-        number = {x: k for k, x in enumerate(languages)}
+        release()
+        number, counts = {x: k for k, x in enumerate(languages)}, {}
+
+        def out() -> pa.RecordBatch:
+            found = [(lang, bucket := np.flatnonzero(n), n[bucket]) for lang, n in counts.items()]
+            counts.clear()
+            lang = np.repeat(np.array([f[0] for f in found], np.int32), [len(f[1]) for f in found])
+            bucket, n = (np.concatenate([np.zeros(0, np.int64), *[f[k] for f in found]]) for k in (1, 2))
+            return pa.RecordBatch.from_arrays([pa.array(lang), pa.array(bucket.astype(np.int32)), pa.array(n)], ["lang", "bucket", "n"])
+
         for batch in batches:
             for first, texts in text_blocks(batch.column(1)):
                 bucket, ends = trigrams(texts)
-                langs = np.array([number[x] for x in batch.column(0).slice(first, len(texts)).to_pylist()], np.int64)
-                flat = np.repeat(langs, np.diff(ends)) * BUCKETS + bucket
-                counts += np.bincount(flat, minlength=counts.size).reshape(counts.shape)
-        lang, bucket = np.nonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(lang.astype(np.int32)), pa.array(bucket.astype(np.int32)), pa.array(counts[lang, bucket])], ["lang", "bucket", "n"])
+                langs = np.array([number.get(x, -1) for x in batch.column(0).slice(first, len(texts)).to_pylist()], np.int64)
+                owner = np.repeat(langs, np.diff(ends))
+                for lang in set(langs[langs >= 0].tolist()):
+                    if lang not in counts:
+                        if len(counts) == HELD_LANGUAGES:
+                            yield out()
+                        counts[lang] = np.zeros(BUCKETS, np.int64)
+                    counts[lang] += np.bincount(bucket[owner == lang], minlength=BUCKETS)
+        yield out()
 
     rows = source.mapInArrow(run, "lang int, bucket int, n bigint").groupBy("lang", "bucket").agg(F.sum("n")).collect()
     counts = np.full((BUCKETS, len(languages)), ALPHA)
@@ -76,23 +94,26 @@ def train(df: DataFrame, text: str, label: str) -> tuple[list[str], np.ndarray]:
 
 
 def with_likelihoods(df: DataFrame, text: str, table: np.ndarray, out: str = "__ll") -> DataFrame:
-    """All columns and ``out``: the tempered log-likelihood of each language."""
+    """All columns, ``out``: the tempered log-likelihood of each language, and ``__n``, the
+    number of trigrams."""
     prepare(df.sparkSession)
-    shared, at, names = df.sparkSession.sparkContext.broadcast(table), df.columns.index(text), [*df.columns, out]
+    shared, at, names = df.sparkSession.sparkContext.broadcast(table), df.columns.index(text), [*df.columns, out, "__n"]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         table = shared.value
         for batch in batches:
-            found = []
-            for _, texts in text_blocks(batch.column(at), 1 << 20):
+            found, sizes = [], []
+            for _, texts in text_blocks(batch.column(at)):
                 bucket, ends = trigrams(texts)
+                sizes.append(np.diff(ends))
                 found.append(np.add.reduceat(table[bucket], ends[:-1], axis=0, dtype=np.float64) * TEMPER)
             if found:
                 flat = pa.array(np.concatenate(found).ravel())
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * table.shape[1]), flat)
-                yield pa.RecordBatch.from_arrays([*batch.columns, lists], names)
+                yield pa.RecordBatch.from_arrays([*batch.columns, lists, pa.array(np.concatenate(sizes))], names)
 
-    return df.mapInArrow(run, f"{_columns(df)}, `{out}` array<double>")
+    return df.mapInArrow(run, f"{_columns(df)}, `{out}` array<double>, __n bigint")
 
 
 def _domain(host: Column) -> Column:
@@ -111,6 +132,28 @@ def _smoothed(n: Column, prior: Column) -> Column:
     return F.zip_with(n, prior, lambda x, p: (x + p * STRENGTH) / (total + STRENGTH))
 
 
+def expected_fit(table: np.ndarray) -> list[tuple[float, float]]:
+    """(mean, variance) of a trigram's log-likelihood in each language. Neighbouring trigrams
+    share bytes, so the variance counts three times."""
+    share = np.exp(table.astype(np.float64))
+    mean = (share * table).sum(axis=0)
+    return list(zip(mean.tolist(), (3 * ((share * np.square(table, dtype=np.float64)).sum(axis=0) - mean**2)).tolist(), strict=True))
+
+
+def _of(values: list[float], at: Column) -> Column:
+    return F.array(*map(F.lit, values))[at]
+
+
+def spread(rows: DataFrame, fit: list[tuple[float, float]]) -> list[float]:
+    """The variance of each language's texts besides what their lengths explain, from light
+    rows (best, x: mean log-likelihood, __n): one grouped aggregate. It is read off the 90th
+    percentile of the squared deviations (2.7 variances), so foreign texts don't widen it."""
+    mean, within = (_of([f[k] for f in fit], F.col("best")) for k in (0, 1))
+    over = F.greatest(F.lit(0.0), F.pow(F.col("x") - mean, 2) - within / F.col("__n"))
+    found = dict(rows.groupBy("best").agg(F.percentile_approx(over, 0.9) / 2.706).collect())  # at most one row a language
+    return [found.get(k) or 0.0 for k in range(len(fit))]
+
+
 def evidence(rows: DataFrame, languages: int) -> dict[str, DataFrame]:
     """Log tables by declared language, suffix and host from light rows (declared, suffix,
     host, __ll): key and one value a language."""
@@ -136,8 +179,9 @@ def identify(df: DataFrame, model: tuple[list[str], np.ndarray], text: str, decl
     """All columns and ``lang_id``, ``lang_p`` (posterior of that language) and ``lang_ok``.
 
     Missing evidence (no column, or null) says nothing; an unknown host has the corpus
-    prior. A row is rejected (not ok) when its text has no letter, is null or empty, or
-    when no language reaches ``least``. Ties go to the first language by name. An empty
+    prior. A row is rejected (not ok) when its text has no letter, is null or empty, when
+    no language reaches ``least``, or when its text fits the likeliest language far worse
+    than that language's rows do (FIT), like other languages and random letters. Ties go to the first language by name. An empty
     table gives an empty result; columns of the input may have any names but those three
     and names that start with two underscores.
     """
@@ -147,8 +191,10 @@ def identify(df: DataFrame, model: tuple[list[str], np.ndarray], text: str, decl
         return df.withColumns({"lang_id": F.lit(None).cast("string"), "lang_p": F.lit(0.0), "lang_ok": F.lit(False)})
     given = {n: F.col(c).cast("string") if c else F.lit(None).cast("string") for n, c in (("declared", declared), ("suffix", suffix), ("host", host))}
     df = with_likelihoods(df, text, table).withColumns({f"__at_{n}": c for n, c in given.items()})
-    light = written(df.select(*[F.col(f"__at_{n}").alias(n) for n in given], "__ll"), "evidence")
-    found = evidence(light, size)
+    light = written(df.select(*[F.col(f"__at_{n}").alias(n) for n in given], "__ll", "__n"), "evidence")
+    found, fit = evidence(light, size), expected_fit(table)
+    best = F.expr("cast(array_position(__ll, array_max(__ll)) - 1 as int)")
+    between = spread(light.select(best.alias("best"), (F.array_max("__ll") / TEMPER / F.col("__n")).alias("x"), "__n"), fit)
     for name in given:  # a small table is broadcast, so the texts are not dealt out by host
         table, _ = bounded_broadcast(found[name].withColumnRenamed(name, f"__at_{name}"), BROADCAST_ROWS)
         df = df.join(table, f"__at_{name}", "left")
@@ -157,9 +203,11 @@ def identify(df: DataFrame, model: tuple[list[str], np.ndarray], text: str, decl
     df = df.withColumn("__sum", F.transform(parts, lambda x: x["t"] + x["d"] + x["s"] + x["h"]))
     df = df.withColumn("__top", F.array_max("__sum"))
     posterior = 1 / F.aggregate("__sum", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("__top")))
-    best = F.array(*map(F.lit, languages))[F.array_position("__sum", F.col("__top")).cast("int") - 1]
+    at = F.array_position("__sum", F.col("__top")).cast("int") - 1
     letters = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
-    return df.withColumns({"lang_id": best, "lang_p": posterior, "lang_ok": letters & (posterior >= least)}).select(*kept, "lang_id", "lang_p", "lang_ok")
+    low = _of([f[0] for f in fit], at) - FIT * F.sqrt(_of(between, at) + _of([f[1] for f in fit], at) / F.col("__n"))
+    fits = F.col("__ll")[at] / TEMPER / F.col("__n") >= low
+    return df.withColumns({"lang_id": _of(languages, at), "lang_p": posterior, "lang_ok": letters & (posterior >= least) & fits}).select(*kept, "lang_id", "lang_p", "lang_ok")
 
 
 def from_page(pages: DataFrame, html: str = "html", url: str = "url") -> DataFrame:

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from itertools import islice
+from itertools import chain, islice
 
 import numpy as np
 
 from sifter.llm.common import ragged
 
-#: A worker remembers so many pieces, those it meets first; further ones for a block of texts.
-MEMO_PIECES = 1 << 19
+#: A worker remembers so many pieces, of so many bytes and ids at most, those it meets first;
+#: further and longer ones for a block of texts.
+MEMO_PIECES = 1 << 18
+PIECE_BYTES = 64
 
 
 class _Codes(dict):
@@ -49,12 +51,13 @@ class PieceMemo:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in one array, where each text's ids start and the last end)."""
-        full = self.learnt
-        codes, ends = [], [0]
-        for t in texts:
-            codes += map(self.codes.__getitem__, self.cut(t))
-            ends.append(len(codes))
-        codes = np.array(codes, np.int64)
+        full, cuts = self.learnt, list(map(self.cut, texts))
+        found: list[list[int]] = [[]] * len(texts)
+        # texts that are one long piece come last, so their pieces are the ones to go
+        for k in sorted(range(len(texts)), key=lambda k: len(cuts[k]) == 1 and len(cuts[k][0]) > PIECE_BYTES):
+            found[k] = list(map(self.codes.__getitem__, cuts[k]))
+        ends = np.cumsum([0, *map(len, found)])
+        codes = np.fromiter(chain.from_iterable(found), np.int64, int(ends[-1]))
         new = []
         if len(self.codes) > full:
             new = list(islice(reversed(self.codes), len(self.codes) - full))[::-1]
@@ -62,10 +65,12 @@ class PieceMemo:
         sizes = self.size[codes]
         at = np.concatenate(([0], np.cumsum(sizes)))
         out = self.ids[ragged(self.at[codes], sizes)], at[ends]
-        if self.learnt > MEMO_PIECES:
-            for piece in new[max(0, MEMO_PIECES - full):]:
+        # long pieces, and those beyond the bound, go again: from the first of them on
+        last = next((k for k, piece in enumerate(new) if full + k >= MEMO_PIECES or len(piece) > PIECE_BYTES), len(new))
+        if last < len(new):
+            for piece in new[last:]:
                 del self.codes[piece]
-            kept = len(self.codes)
-            self.used = int(self.at[kept]) if kept < self.learnt else self.used
-            self.learnt = kept
+            self.used, self.learnt = int(self.at[full + last]), full + last
+            if len(self.ids) > 1 << 20 and self.used < len(self.ids) // 4:
+                self.ids = self.ids[: len(self.ids) // 2].copy()
         return out

@@ -21,8 +21,8 @@ KINDS = ("email", "ip", "card", "phone")
 #: The kind of spans that the classifier adds.
 ADDED = "number"
 THRESHOLD = 0.8
-#: So many runs are enough for the classifier to learn from.
-FEW_RUNS = 50
+#: What a part of a run counts in the fit; parts overlap, runs count 1.
+PART_WEIGHT = 0.1
 #: Digits that a candidate has.
 LEAST_DIGITS, MOST_DIGITS = 7, 19
 #: Spans are numbered in blocks of this many, so long lists cost no square.
@@ -210,16 +210,14 @@ def train_spans(features: np.ndarray, share: np.ndarray, counts: np.ndarray, rid
 
 def fit(annotated: DataFrame) -> list[float]:
     """The span classifier's weights, from the counts of (votes, features) over all candidates
-    (at most 2 * 3**LABELERS * 2**FEATURES rows). Parts overlap, so they only make up for runs
-    that FEW_RUNS lacks. Without candidates nothing will be added."""
+    (at most 2 * 3**LABELERS * 2**FEATURES rows). Runs and parts count with fixed weights at
+    every size of the table. Without candidates nothing will be added."""
     # a plain explode would make the optimizer work the candidates out twice
     rows = (annotated.select(F.explode_outer("pii_candidates").alias("c")).where("c is not null").groupBy("c.votes", "c.features", "c.part").agg(F.count(F.lit(1)).alias("n"))
             .collect())
     if not rows:
         return [0.0] * FEATURES + [-30.0]
-    runs, parts = (sum(r.n for r in rows if r.part == x) for x in (False, True))
-    worth = {False: 1.0, True: min(1.0, max(0, FEW_RUNS - runs) / max(1, parts))}
-    rows = sorted((r[0], r[1], r[3] * worth[r[2]]) for r in rows if worth[r[2]])
+    rows = sorted((r[0], r[1], r[3] * (PART_WEIGHT if r[2] else 1.0)) for r in rows)
     votes, features, counts = np.array([r[0] for r in rows]), np.array([r[1] for r in rows]), np.array([r[2] for r in rows], float)
     share, _ = reliabilities(votes, counts)
     return train_spans(features, share, counts).tolist()

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sifter.llm.common import prepare, text_blocks, written
+from sifter.llm.common import prepare, release, text_blocks, written
 from sifter.llm.components import components
 
 SHINGLE_WORDS = 3
@@ -63,6 +63,7 @@ def with_fingerprint(df: DataFrame, keys: list[str], text: str = "text", width:
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema[:-1]) + ", fp bigint"
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             fps = [fingerprint(shingle_hashes(t.encode(), width)) for _, texts in text_blocks(batch.column(batch.num_columns - 1)) for t in texts]
             column = pa.array(np.array(fps, np.uint64).view(np.int64), pa.int64())

@@ -11,7 +11,6 @@ import os
 import re
 import zlib
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 from tokenizers import Tokenizer
 
-from sifter.llm.common import prepare, shared_path, text_blocks
+from sifter.llm.common import held, prepare, shared_path, text_blocks
 from sifter.llm.files import local, ship
 from sifter.llm.pieces import PieceMemo
 
@@ -34,7 +33,14 @@ PAGE_BYTES = 256 << 10
 #: A token of a byte-level vocabulary never spans a step from other characters to white space.
 _PIECE = re.compile(r"[ \t\n\r\x0b\x0c]*[^ \t\n\r\x0b\x0c]+|[ \t\n\r\x0b\x0c]+")
 #: Other white space, or what may be a special token: such a text is encoded in one go.
-_WHOLE = re.compile(r"[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]|<\|")
+_ODD_ASCII = ("<|", *"\x1c\x1d\x1e\x1f")
+_ODD = (*_ODD_ASCII, *"\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
+#: What keeps a text from being cut at every blank and line feed, see ``PieceEncoder.cut``.
+_RUNS = ("  ", "\n\n", " \n", "\n ", "\t", "\r", "\x0b", "\x0c", "\0")
+
+
+class _Whole(str):
+    """A text that is encoded in one go."""
 
 
 class PieceEncoder(PieceMemo):
@@ -50,13 +56,19 @@ class PieceEncoder(PieceMemo):
             self.bytes[i] = len(token)  # a byte-level token has one character a byte
 
     def cut(self, text: str) -> list[str]:
-        return [text] if _WHOLE.search(text) else _PIECE.findall(text)
+        if any(map(text.__contains__, _ODD_ASCII if text.isascii() else _ODD)):
+            return [_Whole(text)]
+        if any(map(text.__contains__, _RUNS)):
+            return _PIECE.findall(text)
+        # single blanks and line feeds: the pieces begin with them, without a regular expression
+        pieces = text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")
+        return pieces if pieces[0] else pieces[1:]
 
     def _encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def ids_of(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        joins = [p[0] in " \t\n\r\x0b\x0c" and not p.isspace() and not _WHOLE.search(p) for p in pieces]
+        joins = [p[0] in " \t\n\r\x0b\x0c" and type(p) is str and not p.isspace() for p in pieces]
         many = [p for p, j in zip(pieces, joins, strict=True) if j]
         found = self._encode([p for p, j in zip(pieces, joins, strict=True) if not j])
         lengths, joined = np.zeros(len(pieces), np.int64), np.array(joins, bool)
@@ -70,11 +82,10 @@ class PieceEncoder(PieceMemo):
         return out, lengths
 
 
-@lru_cache(maxsize=2)
 def _encoder(name: str) -> PieceEncoder:
     """One for all tasks of a worker process, so what it remembers lasts."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    return PieceEncoder(Tokenizer.from_file(local(name)))
+    return held(("byte encoder", name), lambda: PieceEncoder(Tokenizer.from_file(local(name))))
 
 
 def write_tokens(df: DataFrame, path: str, vocabulary: str, doc_id: str = "doc_id", text: str = "text", end: int = END_ID) -> None:
