@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sifter.session import ensure_workers, shared_dir
 
@@ -83,6 +84,20 @@ def text_blocks(texts: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[int
         start = stop
 
 
+#: A key with more than this share of all rows is joined by broadcast; there are fewer of them.
+HOT = 4096
+
+
+def hot_join(rows: DataFrame, table: DataFrame, key: str, weight: str) -> DataFrame:
+    """Inner join with a table of distinct keys that knows the number of rows of each in
+    ``weight``. Fewer than HOT keys have more than their share of the rows: they are
+    broadcast, so no task gets a hot key's rows; all others are joined by shuffle. ``rows``
+    should be a written table, as both ways read it."""
+    least = (table.agg(F.sum(weight)).first()[0] or 0) / HOT
+    hot, cold = F.broadcast(table.where(F.col(weight) > least)), table.where(F.col(weight) <= least)
+    return rows.join(hot, key).unionByName(rows.join(F.broadcast(table.where(F.col(weight) > least).select(key)), key, "left_anti").join(cold, key))
+
+
 def byte_blocks(texts: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, list[bytes]]]:
     """Like ``text_blocks``, with each text as its UTF-8 bytes."""
     data = texts.cast(pa.binary())

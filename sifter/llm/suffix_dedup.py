@@ -15,19 +15,22 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sifter.llm.common import prepare, text_blocks, written
+from sifter.llm.common import hot_join, prepare, text_blocks, written
 from sifter.llm.suffix_array import common_prefixes, packed, suffix_array
 
 WIDTH = 200
 GRAM = 64
 #: Bytes of a suffix array at most, unless one minimiser's regions take more.
-SHARD_BYTES = 2 << 20
+SHARD_BYTES = 1 << 20
 #: Occurrences of a minimiser beyond which its regions are dealt to several shards.
-SPLIT = 8192
+SPLIT = 2048
+#: Strings of split minimisers that a merging task holds.
+MERGED = 1 << 17
 #: Starts of a long text that are worked on at once.
 STARTS = 1 << 20
 
@@ -139,23 +142,33 @@ def _cut(docs: DataFrame, kind: str, width: int) -> DataFrame:
         seen: set[bytes] = set()
         for batch in batches:
             ends = batch.column(3).offsets.to_numpy()
-            start, n, m, c = (batch.column(k).flatten() for k in range(3, 7))
-            starts, counts = start.to_numpy().tolist(), n.to_numpy().tolist()
-            rids, pieces = [], []
-            for k, text in enumerate(batch.column(2).to_pylist()):
-                data = text.encode()
-                for i in range(ends[k] - ends[0], ends[k + 1] - ends[0]):
+            ends = ends - ends[0]
+            columns = [batch.column(k).flatten() for k in range(3, 7)]
+            starts, counts = (columns[k].to_numpy().tolist() for k in (0, 1))
+            row = np.repeat(np.arange(batch.num_rows), np.diff(ends))
+            rids, pieces, size, low = [], [], 0, 0
+
+            def out() -> pa.RecordBatch:
+                at = pa.array(row[low: low + len(rids)])
+                return pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), *[c.slice(low, len(rids)) for c in columns],
+                                                   pa.array(rids, pa.binary()), pa.array(pieces, pa.binary())], ["doc_id", "h", "start", "n", "m", "c", "rid", "data"])
+
+            for k in range(batch.num_rows):
+                data = batch.column(2)[k].as_py().encode()
+                for i in range(ends[k], ends[k + 1]):
                     piece = data[starts[i]: starts[i] + counts[i] + width - 1]
                     rid = xxhash.xxh3_128_digest(piece)
                     rids.append(rid)
                     pieces.append(None if rid in seen else piece)
                     seen.add(rid)
+                    size += len(piece)
+                    if size > 1 << 22:
+                        yield out()
+                        low, rids, pieces, size = low + len(rids), [], [], 0
                 if len(seen) > 1 << 18:
                     seen.clear()
             if rids:
-                at = pa.array(np.repeat(np.arange(batch.num_rows), np.diff(ends)))
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), start, n, m, c, pa.array(rids, pa.binary()), pa.array(pieces, pa.binary())],
-                                                 ["doc_id", "h", "start", "n", "m", "c", "rid", "data"])
+                yield out()
 
     return docs.mapInArrow(run, f"doc_id {kind}, h bigint, start bigint, n int, m bigint, c bigint, rid binary, data binary")
 
@@ -167,27 +180,35 @@ def _sort_shards(distinct: DataFrame, width: int, shard_bytes: int) -> DataFrame
     one start for each distinct string that did not repeat in its shard, and of one that did.
     """
 
-    def solve(rows: list[tuple]) -> pa.RecordBatch:
+    names = ["rid", "ranges", "m", "sk", "digest", "at", "alone"]
+    kinds = (pa.binary(), pa.list_(pa.int32()), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.bool_())
+
+    def solve(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
         flags, text, at, alone = repeated_starts([r[2] for r in rows], width)
-        out = [(r[0], _ranges(f), None, None, None, None, None) for r, f in zip(rows, flags, strict=True) if f.any()]
-        split = np.array([r[4] for r in rows], bool)
-        for t, a, s in zip(text[split[text]].tolist(), at[split[text]].tolist(), alone[split[text]].tolist()):
-            out.append((rows[t][0], None, rows[t][3], rows[t][1], xxhash.xxh3_128_digest(rows[t][2][a: a + width]), a, s))
-        columns = list(zip(*out, strict=True)) or [()] * 7
-        kinds = (pa.binary(), pa.list_(pa.int32()), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.bool_())
-        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, kinds, strict=True)], ["rid", "ranges", "m", "sk", "digest", "at", "alone"])
+        marked = [(r[0], _ranges(f)) for r, f in zip(rows, flags, strict=True) if f.any()]
+        columns = [pa.array([x[k] for x in marked], kinds[k]) for k in (0, 1)]
+        yield pa.RecordBatch.from_arrays([*columns, *[pa.nulls(len(marked), t) for t in kinds[2:]]], names)
+        split = np.array([r[4] for r in rows], bool)[text]
+        text, at, alone = text[split], at[split], alone[split]
+        rid, m, sk = (pa.array([r[k] for r in rows], t) for k, t in ((0, pa.binary()), (3, pa.int64()), (1, pa.int64())))
+        for low in range(0, len(text), 1 << 14):
+            some = slice(low, low + (1 << 14))
+            take = pa.array(text[some])
+            digests = [xxhash.xxh3_128_digest(rows[t][2][a: a + width]) for t, a in zip(text[some].tolist(), at[some].tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([rid.take(take), pa.nulls(len(take), kinds[1]), m.take(take), sk.take(take), pa.array(digests, pa.binary()),
+                                              pa.array(at[some].astype(np.int32)), pa.array(alone[some])], names)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, size = [], 0
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if group and size >= shard_bytes and row[1] != group[-1][1]:
-                    yield solve(group)
+                    yield from solve(group)
                     group, size = [], 0
                 group.append(row)
                 size += len(row[2])
         if group:
-            yield solve(group)
+            yield from solve(group)
 
     rows = distinct.select("rid", "sk", "data", "m", "split").repartition("sk").sortWithinPartitions("sk")
     return rows.mapInArrow(run, "rid binary, ranges array<int>, m bigint, sk bigint, digest binary, at int, alone boolean")
@@ -195,30 +216,40 @@ def _sort_shards(distinct: DataFrame, width: int, shard_bytes: int) -> DataFrame
 
 def _merge_shards(heads: DataFrame) -> DataFrame:
     """(rid, ranges) of lone starts whose string also occurs in another shard of the same
-    minimiser: the shards' strings are dealt by ranges, and each shard's run is looked up
-    in the others' by binary search."""
+    minimiser. The strings are dealt by ranges and sorted; a task takes a bounded piece of
+    its range at a time and looks each shard's run up in all runs by binary search."""
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        batches = [b for b in batches if b.num_rows]
-        if not batches:
-            return
-        table = pa.Table.from_batches(batches)
-        digest = np.array(table.column("digest").to_pylist(), "S16")
+    def found(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        every = np.frombuffer(b"".join(table.column("digest").to_pylist()), "S16")
         shard = table.column("sk").to_numpy()
-        order = np.lexsort((digest, shard))
-        bounds = np.flatnonzero(np.diff(shard[order])) + 1
-        runs = np.split(order, bounds)
-        every = np.sort(digest)
-        for own in runs:
-            strings = digest[own]  # distinct and sorted inside a shard
+        order = np.argsort(shard, kind="stable")
+        alone = table.column("alone").to_numpy()
+        for own in np.split(order, np.flatnonzero(np.diff(shard[order])) + 1):
+            strings = every[own]  # distinct and sorted inside a shard
             others = np.searchsorted(every, strings, "right") - np.searchsorted(every, strings, "left") > 1
-            hit = own[others]
-            hit = hit[np.asarray(table.column("alone").take(pa.array(hit)), bool)]
+            hit = own[others & alone[own]]
             if len(hit):
-                at = table.column("at").take(pa.array(hit)).to_pylist()
-                yield pa.RecordBatch.from_arrays([table.column("rid").take(pa.array(hit)).combine_chunks(), pa.array([[a, a + 1] for a in at], pa.list_(pa.int32()))], ["rid", "ranges"])
+                at = table.column("at").take(pa.array(hit)).to_numpy()
+                ranges = pa.ListArray.from_arrays(pa.array(np.arange(0, 2 * len(hit) + 1, 2, dtype=np.int32)), pa.array(np.column_stack((at, at + 1)).ravel().astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([table.column("rid").take(pa.array(hit)).combine_chunks(), ranges], ["rid", "ranges"])
 
-    rows = heads.select("rid", "sk", "digest", "at", "alone").repartitionByRange("digest")
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            held.append(batch)
+            if sum(b.num_rows for b in held) >= MERGED:
+                table = pa.Table.from_batches(held).combine_chunks()
+                last = table.column("digest")[-1]
+                cut = pc.index(table.column("digest"), last).as_py()  # the last string may go on
+                if cut:
+                    yield from found(table.slice(0, cut).combine_chunks())
+                    held = table.slice(cut).combine_chunks().to_batches()
+        if held:
+            yield from found(pa.Table.from_batches(held).combine_chunks())
+
+    rows = heads.select("rid", "sk", "digest", "at", "alone").repartitionByRange("digest").sortWithinPartitions("digest")
     return rows.mapInArrow(run, "rid binary, ranges array<int>")
 
 
@@ -265,7 +296,8 @@ def repeated_bytes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", wi
     kind = docs.schema["doc_id"].dataType.simpleString()
     scanned = written(_scan(docs, kind, width, gram), "regions")
     common = scanned.groupBy("m").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > 1)
-    lists = scanned.join(common, "m").groupBy("doc_id", "h").agg(F.collect_list(F.struct("start", "n", "m", "c")).alias("parts"))
+    # rows with equal id and text have equal regions, so a set holds them once
+    lists = hot_join(scanned, written(common, "minimisers"), "m", "c").groupBy("doc_id", "h").agg(F.collect_set(F.struct("start", "n", "m", "c")).alias("parts"))
     parts = written(lists, "candidates")
     found = _same(docs, parts, "inner").select("doc_id", "h", "text", *[F.col("parts")[c].alias(c) for c in ("start", "n", "m", "c")])
     cut = written(_cut(found, kind, width), "pieces")
@@ -279,8 +311,11 @@ def repeated_bytes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", wi
     whole = distinct.where("copies > 1").select("rid", F.array(F.lit(0), F.col("n")).alias("ranges"))
     inner = solved.where("ranges is not null").select("rid", "ranges")
     across = _merge_shards(solved.where("digest is not null"))
-    marked = whole.union(inner).union(across)
-    hits = cut.select("doc_id", "h", "rid", "start").join(marked, "rid").select("doc_id", "h", F.transform("ranges", lambda x: x + F.col("start")).alias("runs"))
-    hits = hits.groupBy("doc_id", "h").agg(F.flatten(F.collect_list("runs")).alias("runs"))  # first and behind-last start of each run
+    # a region has at most width - gram + 1 starts, so its lists are short
+    marked = whole.union(inner).union(across).groupBy("rid").agg(F.flatten(F.collect_list("ranges")).alias("ranges"))
+    marked = written(marked.join(distinct.select("rid", "copies"), "rid"), "marked")
+    hits = hot_join(cut.select("doc_id", "h", "rid", "start"), marked, "rid", "copies")
+    hits = hits.select("doc_id", "h", F.transform("ranges", lambda x: x + F.col("start")).alias("runs"))
+    hits = hits.groupBy("doc_id", "h").agg(F.flatten(F.collect_set("runs")).alias("runs"))  # first and behind-last start of each run
     stripped = _same(docs, written(hits, "hits"), "left")
     return _strip(stripped.select("doc_id", "text", F.coalesce("runs", F.array().cast("array<bigint>")).alias("runs")), kind, width)
