@@ -15,11 +15,12 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from sifter.llm.common import held, prepare, text_blocks, written
+from sifter.llm.common import array_blocks, held, prepare, text_blocks, written
 from sifter.llm.files import local, ship, ship_bytes
 from sifter.llm.lexicon import Lexicon, compile_words
 from sifter.llm.pieces import MEMO_PIECES, PieceMemo
@@ -130,8 +131,9 @@ class Encoder(PieceMemo):
         super().__init__()
         self.bpe, self.lexicon = bpe, lexicon
 
-    def cut(self, text: str) -> list[bytes]:
-        return text.encode().split()
+    def cut(self, texts: pa.Array) -> list:
+        lists = pc.ascii_split_whitespace(texts)
+        return [self.distinct(np.arange(len(texts)), lists.cast(pa.list_(pa.binary())))]
 
     def ids_of(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         cut = [self.bpe.words(p) for p in pieces]
@@ -214,7 +216,7 @@ def encode(df: DataFrame, path: str, keys: list[str], text: str = "text", most:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(vocabulary, lexicon)
         for batch in batches:
-            for first, texts in text_blocks(batch.column(batch.num_columns - 1)):
+            for first, texts in array_blocks(batch.column(batch.num_columns - 1)):
                 ids, ends = encoder.encode(texts)
                 ends = ends.tolist()
                 data = ids.astype("<u4").tobytes()

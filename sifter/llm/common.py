@@ -73,17 +73,28 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def text_blocks(texts: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, list[str]]]:
-    """(first row, texts) runs of at most about ``limit`` bytes, at least one row each;
-    a null text comes as the empty one."""
+def array_blocks(texts: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, pa.Array]]:
+    """(first row, texts) runs of at most about ``limit`` bytes, at least one row each."""
     sizes = np.asarray(pa.compute.fill_null(pa.compute.binary_length(texts), 0), dtype=np.int64)
     start = 0
     while start < len(sizes):
         stop = start + max(1, int(np.searchsorted(np.cumsum(sizes[start:]), limit)))
-        yield start, [t if t is not None else "" for t in texts.slice(start, stop - start).to_pylist()]
+        yield start, texts.slice(start, stop - start)
         start = stop
 
 
+def text_blocks(texts: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, list[str]]]:
+    """The same as strings; a null text comes as the empty one."""
+    for start, some in array_blocks(texts, limit):
+        yield start, [t if t is not None else "" for t in some.to_pylist()]
+
+
+def byte_blocks(texts: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, list[bytes]]]:
+    """The same as UTF-8 bytes."""
+    for start, some in array_blocks(texts.cast(pa.binary()), limit):
+        yield start, [t if t is not None else b"" for t in some.to_pylist()]
+
+
 #: A key with more than this share of all rows is joined by broadcast; there are fewer of them.
 HOT = 4096
 
@@ -98,17 +109,6 @@ def hot_join(rows: DataFrame, table: DataFrame, key: str, weight: str) -> DataFr
     return rows.join(hot, key).unionByName(rows.join(F.broadcast(table.where(F.col(weight) > least).select(key)), key, "left_anti").join(cold, key))
 
 
-def byte_blocks(texts: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, list[bytes]]]:
-    """Like ``text_blocks``, with each text as its UTF-8 bytes."""
-    data = texts.cast(pa.binary())
-    sizes = np.asarray(pa.compute.fill_null(pa.compute.binary_length(data), 0), dtype=np.int64)
-    start = 0
-    while start < len(sizes):
-        stop = start + max(1, int(np.searchsorted(np.cumsum(sizes[start:]), limit)))
-        yield start, [t if t is not None else b"" for t in data.slice(start, stop - start).to_pylist()]
-        start = stop
-
-
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The indices starts[0], starts[0]+1, ..., starts[1], ... of consecutive runs."""
     total = int(lengths.sum())

@@ -14,17 +14,21 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 from tokenizers import Tokenizer
 
-from sifter.llm.common import held, prepare, shared_path, text_blocks
+from sifter.llm.common import array_blocks, held, prepare, shared_path
 from sifter.llm.files import local, ship
-from sifter.llm.pieces import PieceMemo
+from sifter.llm.pieces import PIECE_BYTES, PieceMemo
 
 END_ID = 2
+#: Pieces that a worker remembers (some 200 MB), and bytes of texts it works on at once.
+MEMO_PIECES = 1 << 20
+BLOCK_BYTES = 4 << 20
 #: Pieces handed to the library in one string.
 JOINED = 2000
 ROW_GROUP_BYTES = 16 << 20
@@ -33,10 +37,9 @@ PAGE_BYTES = 256 << 10
 #: A token of a byte-level vocabulary never spans a step from other characters to white space.
 _PIECE = re.compile(r"[ \t\n\r\x0b\x0c]*[^ \t\n\r\x0b\x0c]+|[ \t\n\r\x0b\x0c]+")
 #: Other white space, or what may be a special token: such a text is encoded in one go.
-_ODD_ASCII = ("<|", *"\x1c\x1d\x1e\x1f")
-_ODD = (*_ODD_ASCII, *"\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
+_ODD = r"[\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]|<\|"
 #: What keeps a text from being cut at every blank and line feed, see ``PieceEncoder.cut``.
-_RUNS = ("  ", "\n\n", " \n", "\n ", "\t", "\r", "\x0b", "\x0c", "\0")
+_RUNS = r"[ \n]{2}|[\t\r\x{b}\x{c}\x{0}]"
 
 
 class _Whole(str):
@@ -48,27 +51,32 @@ class PieceEncoder(PieceMemo):
     in one string for it; the ids' byte lengths tell where each piece's ids end."""
 
     def __init__(self, tokenizer: Tokenizer):
-        super().__init__()
+        super().__init__(MEMO_PIECES)
         self.tokenizer = tokenizer
         vocabulary = tokenizer.get_vocab(with_added_tokens=True)
         self.bytes = np.zeros(1 + max(vocabulary.values()), np.int64)
         for token, i in vocabulary.items():
             self.bytes[i] = len(token)  # a byte-level token has one character a byte
 
-    def cut(self, text: str) -> list[str]:
-        if any(map(text.__contains__, _ODD_ASCII if text.isascii() else _ODD)):
-            return [_Whole(text)]
-        if any(map(text.__contains__, _RUNS)):
-            return _PIECE.findall(text)
-        # single blanks and line feeds: the pieces begin with them, without a regular expression
-        pieces = text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")
-        return pieces if pieces[0] else pieces[1:]
+    def cut(self, texts: pa.Array) -> list:
+        odd, runs = (pc.match_substring_regex(texts, x).to_numpy(zero_copy_only=False) for x in (_ODD, _RUNS))
+        plain, parts = np.flatnonzero(~odd & ~runs), []
+        if len(plain):
+            # single blanks and line feeds: the pieces begin with them, without a regular expression
+            marked = pc.replace_substring(pc.replace_substring(texts.take(pa.array(plain)), " ", "\0 "), "\n", "\0\n")
+            parts.append(self.distinct(plain, pc.split_pattern(marked, "\0")))
+        for k in np.flatnonzero(odd | runs).tolist():
+            text = texts[k].as_py()
+            numbers: dict[str, int] = {}
+            of = [numbers.setdefault(p, len(numbers)) for p in ([_Whole(text)] if odd[k] else _PIECE.findall(text))]
+            parts.append((np.array([k]), np.array([len(of)]), list(numbers), np.array(of, np.int64)))
+        return sorted(parts, key=lambda p: len(p[2]) == 1 and len(p[2][0]) > PIECE_BYTES)
 
     def _encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def ids_of(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        joins = [p[0] in " \t\n\r\x0b\x0c" and type(p) is str and not p.isspace() for p in pieces]
+        joins = [p[:1] in " \t\n\r\x0b\x0c" and type(p) is str and p != "" and not p.isspace() for p in pieces]
         many = [p for p, j in zip(pieces, joins, strict=True) if j]
         found = self._encode([p for p, j in zip(pieces, joins, strict=True) if not j])
         lengths, joined = np.zeros(len(pieces), np.int64), np.array(joins, bool)
@@ -105,7 +113,7 @@ def write_tokens(df: DataFrame, path: str, vocabulary: str, doc_id: str = "doc_i
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part, before = _encoder(name), TaskContext.get().partitionId(), 0
         for batch in batches:
-            for first, texts in text_blocks(batch.column(1)):
+            for first, texts in array_blocks(batch.column(1), BLOCK_BYTES):
                 ids, offsets = encoder.encode(texts)
                 ids = np.insert(ids.view(np.int32), offsets[1:], end)
                 offsets = offsets + np.arange(len(offsets))
