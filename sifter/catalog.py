@@ -22,7 +22,9 @@ from sifter.operators import cache as K
 from sifter.operators import candidates as LSH
 from sifter.operators import chunking as C
 from sifter.operators import embedding as E
+from sifter.operators import ivfpq as I
 from sifter.operators import lexical as L
+from sifter.operators import passages as G
 from sifter.operators import scoring as S
 from sifter.operators import vectors as V
 from sifter.operators.common import by_key, materialize
@@ -31,7 +33,7 @@ from sifter.plans import analysis as A
 from sifter.session import ship_package, shared_dir
 
 P: Params = DEFAULT
-PAIR_MIN_LEX = 0.25  # pair mode takes all pairs of at least this lexical score
+PAIR_MIN_LEX = 0.25  # pair mode takes all pairs of at least this lexical score or with a passage run
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -230,6 +232,12 @@ def q_vector_topk(spark, sf):
                     F.round("score", 6).alias("score"))
 
 
+def q_vector_topk_ivf(spark, sf):
+    v = vectors(spark, sf).select("vec_id", "emb")
+    model = I.train(v, "vec_id", 64)
+    return I.search(v.withColumnRenamed("vec_id", "q_vec_id"), materialize(I.encode(v, model, "vec_id")), v, model, "q_vec_id", "vec_id", 20)
+
+
 def q_vector_topk_lsh(spark, sf):
     v = vectors(spark, sf)
     r = V.lsh_topk(v.select(F.col("vec_id").alias("q_vec_id"), "emb"), v.select("vec_id", "emb"),
@@ -288,9 +296,11 @@ def q_corpus_top10(spark, sf):
 # --------------------------------------------------------------------------- pair mode (F*, P1)
 
 def _pairs(spark, sf, checkpoint=True):
-    """All (passage, document) pairs whose lexical score reaches PAIR_MIN_LEX."""
-    near = _lex(spark, sf).where(F.round("lex", 9) >= PAIR_MIN_LEX)
-    pairs = near.select(F.col("item_id").alias("a_id"), F.col("doc_id").alias("b_id"))
+    """All (passage, document) pairs whose lexical score reaches PAIR_MIN_LEX, and all that have
+    a passage run in common, however long the document is."""
+    near = _lex(spark, sf).where(F.round("lex", 9) >= PAIR_MIN_LEX).select("item_id", "doc_id")
+    pairs = near.unionByName(_runs(spark, sf).select("item_id", "doc_id")).distinct()
+    pairs = pairs.select(F.col("item_id").alias("a_id"), F.col("doc_id").alias("b_id"))
     return materialize(pairs) if checkpoint else pairs
 
 
@@ -342,6 +352,20 @@ def q_analyze_pairs(spark, sf):
                            "ai_detection.perplexity", "ai_detection.burstiness"))
 
 
+# --------------------------------------------------------------------------- passages (F1)
+
+def _runs(spark, sf):
+    return G.matching_runs(bench(spark, sf), docs(spark, sf), "item_id", "doc_id", P)
+
+
+def q_passage_runs(spark, sf):
+    return _runs(spark, sf)
+
+
+def q_passage_fragments(spark, sf):
+    return G.chained_fragments(_runs(spark, sf), "item_id", "doc_id")
+
+
 # --------------------------------------------------------------------------- machine-written text (D*, P3)
 
 def q_burstiness(spark, sf):
@@ -399,7 +423,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "embed_with_cache": q_embed_with_cache,
     "normalize_vectors": q_normalize_vectors,
     "vector_topk": q_vector_topk,
+    "vector_topk_ivf": q_vector_topk_ivf,
     "vector_topk_lsh": q_vector_topk_lsh,
+    "passage_runs": q_passage_runs,
+    "passage_fragments": q_passage_fragments,
     "doc_semantic_similarity": q_doc_semantic_similarity,
     "corpus_semantic_hits": q_corpus_semantic_hits,
     "corpus_semantic_score": q_corpus_semantic_score,

@@ -87,8 +87,19 @@ CORPUS = LEX_SIGS + SEM + ai_cte("aiq", "benchmark", "item_id") + [
     "ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY final_score DESC, doc_id) AS rank "
     "FROM scored)"]
 
+#: Equal words on a diagonal, and islands of neighbours on it.
+PASSAGE_RUNS = r"""
+        WITH b AS (SELECT item_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')) AS w,
+                          generate_subscripts(regexp_extract_all(lower(text), '[\p{L}\p{N}]+'), 1) - 1 AS p FROM benchmark),
+        d AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')) AS w,
+                     generate_subscripts(regexp_extract_all(lower(text), '[\p{L}\p{N}]+'), 1) - 1 AS p FROM documents),
+        m AS (SELECT item_id, doc_id, b.p AS p, d.p - b.p AS shift FROM b JOIN d USING (w)),
+        g AS (SELECT *, p - row_number() OVER (PARTITION BY item_id, doc_id, shift ORDER BY p) AS island FROM m)
+        SELECT item_id, doc_id, min(p)::INT AS left_start, (max(p) + 1)::INT AS left_end, (min(p) + shift)::INT AS right_start, (max(p) + 1 + shift)::INT AS right_end
+        FROM g GROUP BY item_id, doc_id, shift, island HAVING count(*) >= 8"""
+
 PAIRS = LEX + CHUNKS_Q + CHUNKS_D + CHUNK_EMB + [
-    f"pairs AS (SELECT q_id AS a_id, d_id AS b_id FROM lx WHERE round(lex, 9) >= {PAIR_MIN_LEX})",
+    f"pairs AS (SELECT q_id AS a_id, d_id AS b_id FROM lx WHERE round(lex, 9) >= {PAIR_MIN_LEX} UNION SELECT item_id, doc_id FROM ({PASSAGE_RUNS}) t)",
     f"""pc AS (SELECT p.a_id, p.b_id, struct_pack(i := a.id, c := a.chunk_no) AS a_uid, struct_pack(i := b.id, c := b.chunk_no) AS b_uid,
   a.chunk_no AS a_chunk, b.chunk_no AS b_chunk, a.chunk AS frag_a, b.chunk AS frag_b
   FROM pairs p JOIN qch a ON a.id = p.a_id JOIN dch b ON b.id = p.b_id)""",
@@ -151,6 +162,7 @@ FROM (SELECT q.id AS item_id, d.id AS doc_id, count(*) AS shared FROM qtok q JOI
       GROUP BY q.id, d.id) sh
 JOIN (SELECT id, count(*) AS n FROM qtok GROUP BY id) qn ON qn.id = sh.item_id
 JOIN (SELECT id, count(*) AS n FROM dtok GROUP BY id) dn ON dn.id = sh.doc_id"""
+    q["passage_runs"] = PASSAGE_RUNS
     rows = P.minhash_perms // P.lsh_bands
     q["minhash_lsh_candidates"] = with_(*SIGS, *[
         f"{n}b AS (SELECT id, CAST(slot // {rows} AS INTEGER) AS band, "

@@ -131,7 +131,8 @@ def test_pair_list_is_a_threshold(spark):
     con = duckdb.connect()
     for t in ("documents", "benchmark"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SF_SMALL}/{t}.parquet'")
-    want = con.sql(f"SELECT item_id, doc_id FROM ({oracle_sql()['tfidf_pair_similarity']}) WHERE lex >= {catalog.PAIR_MIN_LEX}").fetchall()
+    want = con.sql(f"SELECT item_id, doc_id FROM ({oracle_sql()['tfidf_pair_similarity']}) WHERE lex >= {catalog.PAIR_MIN_LEX} "
+                   f"UNION SELECT item_id, doc_id FROM ({oracle_sql()['passage_runs']})").fetchall()
     assert sorted(map(tuple, catalog._pairs(spark, SF_SMALL).collect())) == sorted(want) and want
 
 
