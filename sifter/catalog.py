@@ -23,6 +23,7 @@ from sifter.operators import candidates as LSH
 from sifter.operators import chunking as C
 from sifter.operators import embedding as E
 from sifter.operators import ivfpq as I
+from sifter.operators import kneser_ney as N
 from sifter.operators import lexical as L
 from sifter.operators import passages as G
 from sifter.operators import scoring as S
@@ -384,6 +385,12 @@ def q_perplexity(spark, sf):
     return split_msg(ppl.select("msg_id", F.round("perplexity", 6).alias("perplexity")))
 
 
+def q_kneser_ney_perplexity(spark, sf):
+    c = table(spark, sf, "conversations").select("conv_id", "turn", "text")
+    ppl = N.perplexity(c, ["conv_id", "turn"], N.fit(lm_train(spark, sf), P), P)
+    return ppl.withColumn("perplexity", F.round("perplexity", 6))
+
+
 def q_ai_probability(spark, sf):
     return split_msg(A.ai_detect(messages(spark, sf), "msg_id", lm_train(spark, sf), P))
 
@@ -440,6 +447,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "burstiness": q_burstiness,
     "bigram_model": q_bigram_model,
     "perplexity": q_perplexity,
+    "kneser_ney_perplexity": q_kneser_ney_perplexity,
     "ai_probability": q_ai_probability,
     "corpus_counts": q_corpus_counts,
     "corpus_catalog": q_corpus_catalog,

@@ -98,6 +98,31 @@ PASSAGE_RUNS = r"""
         SELECT item_id, doc_id, min(p)::INT AS left_start, (max(p) + 1)::INT AS left_end, (min(p) + shift)::INT AS right_start, (max(p) + 1 + shift)::INT AS right_end
         FROM g GROUP BY item_id, doc_id, shift, island HAVING count(*) >= 8"""
 
+#: Interpolated Kneser-Ney, each order written out for every scored trigram.
+KNESER_NEY = r"""
+        WITH tr AS (SELECT regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS t FROM documents WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)),
+        tt AS (SELECT list_concat(['<s>', '<s>'], t) AS s, unnest(range(1, len(t) + 1)) AS i FROM tr),
+        c3 AS (SELECT s[i] AS u, s[i + 1] AS v, s[i + 2] AS w, count(*) AS n FROM tt GROUP BY ALL),
+        c2 AS (SELECT v, w, count(*) AS n FROM c3 GROUP BY v, w),
+        c1 AS (SELECT w, count(*) AS n FROM c2 GROUP BY w),
+        dd AS (SELECT greatest(0.1::DOUBLE, (SELECT count(*) FROM c3 WHERE n = 1)::DOUBLE / (SELECT count(*) FILTER (WHERE n = 1) + 2 * count(*) FILTER (WHERE n = 2) FROM c3)) AS d3,
+                      greatest(0.1::DOUBLE, (SELECT count(*) FROM c2 WHERE n = 1)::DOUBLE / (SELECT count(*) FILTER (WHERE n = 1) + 2 * count(*) FILTER (WHERE n = 2) FROM c2)) AS d2,
+                      greatest(0.1::DOUBLE, (SELECT count(*) FROM c1 WHERE n = 1)::DOUBLE / (SELECT count(*) FILTER (WHERE n = 1) + 2 * count(*) FILTER (WHERE n = 2) FROM c1)) AS d1,
+                      (SELECT sum(n) FROM c1)::DOUBLE AS total, (SELECT count(*) FROM c1)::DOUBLE AS kinds),
+        x3 AS (SELECT u, v, sum(n)::DOUBLE AS total, count(*) AS kinds FROM c3 GROUP BY u, v),
+        x2 AS (SELECT v, sum(n)::DOUBLE AS total, count(*) AS kinds FROM c2 GROUP BY v),
+        q AS (SELECT conv_id, turn, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS t FROM conversations),
+        qq AS (SELECT conv_id, turn, list_concat(['<s>', '<s>'], t) AS s, unnest(range(1, len(t) + 1)) AS i FROM q),
+        g AS (SELECT conv_id, turn, s[i] AS u, s[i + 1] AS v, s[i + 2] AS w FROM qq),
+        p1 AS (SELECT g.*, greatest(coalesce(c1.n, 0) - d1, 0) / dd.total + d1 * dd.kinds / dd.total / (dd.kinds + 1) AS p1, d2, d3
+               FROM g CROSS JOIN dd LEFT JOIN c1 ON c1.w = g.w),
+        p2 AS (SELECT p1.*, CASE WHEN x2.v IS NULL THEN p1 ELSE greatest(coalesce(c2.n, 0) - d2, 0) / x2.total + d2 * x2.kinds / x2.total * p1 END AS p2
+               FROM p1 LEFT JOIN x2 ON x2.v = p1.v LEFT JOIN c2 ON c2.v = p1.v AND c2.w = p1.w),
+        p3 AS (SELECT p2.*, CASE WHEN x3.v IS NULL THEN p2 ELSE greatest(coalesce(c3.n, 0) - d3, 0) / x3.total + d3 * x3.kinds / x3.total * p2 END AS p3
+               FROM p2 LEFT JOIN x3 ON x3.u = p2.u AND x3.v = p2.v LEFT JOIN c3 ON c3.u = p2.u AND c3.v = p2.v AND c3.w = p2.w),
+        m AS (SELECT conv_id, turn, exp(-avg(ln(p3))) AS perplexity FROM p3 GROUP BY conv_id, turn)
+        SELECT q.conv_id, q.turn, round(m.perplexity, 6) AS perplexity FROM q LEFT JOIN m ON m.conv_id = q.conv_id AND m.turn = q.turn"""
+
 PAIRS = LEX + CHUNKS_Q + CHUNKS_D + CHUNK_EMB + [
     f"pairs AS (SELECT q_id AS a_id, d_id AS b_id FROM lx WHERE round(lex, 9) >= {PAIR_MIN_LEX} UNION SELECT item_id, doc_id FROM ({PASSAGE_RUNS}) t)",
     f"""pc AS (SELECT p.a_id, p.b_id, struct_pack(i := a.id, c := a.chunk_no) AS a_uid, struct_pack(i := b.id, c := b.chunk_no) AS b_uid,
@@ -163,6 +188,7 @@ FROM (SELECT q.id AS item_id, d.id AS doc_id, count(*) AS shared FROM qtok q JOI
 JOIN (SELECT id, count(*) AS n FROM qtok GROUP BY id) qn ON qn.id = sh.item_id
 JOIN (SELECT id, count(*) AS n FROM dtok GROUP BY id) dn ON dn.id = sh.doc_id"""
     q["passage_runs"] = PASSAGE_RUNS
+    q["kneser_ney_perplexity"] = KNESER_NEY
     rows = P.minhash_perms // P.lsh_bands
     q["minhash_lsh_candidates"] = with_(*SIGS, *[
         f"{n}b AS (SELECT id, CAST(slot // {rows} AS INTEGER) AS band, "
