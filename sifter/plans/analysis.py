@@ -22,6 +22,7 @@ from sifter.operators import cache as K
 from sifter.operators import chunking as C
 from sifter.operators import embedding as E
 from sifter.operators import lexical as L
+from sifter.operators import rankjoin as R
 from sifter.operators import scoring as S
 from sifter.operators import vectors as V
 from sifter.operators.common import by_key, materialize
@@ -110,6 +111,20 @@ def corpus_scores(queries: DataFrame, corpus: DataFrame | Prepared, q_id: str, d
         F.coalesce(F.col("n_hits"), F.lit(0)).cast("long").alias("n_hits"))
 
 
+def best_scores(queries: DataFrame, corpus: DataFrame | Prepared, q_id: str, d_id: str, params: Params, n: int,
+                encoder: Encoder | None = None, cache_path: str | None = None) -> DataFrame:
+    """``corpus_scores`` of the documents that can be among a query's ``n`` best, by rank join;
+    of all documents when the query side is too large to broadcast."""
+    if not isinstance(corpus, Prepared):
+        corpus = derive_corpus(corpus, d_id, params, encoder, cache_path)
+    qp = L.with_processed(queries.select(q_id, "text"), params).select(q_id, "processed")
+    side = R.query_side(L.term_counts(qp, q_id), L.minhash_signatures(qp, q_id, params),
+                        doc_embeddings(queries, q_id, params, encoder, cache_path), q_id)
+    hits = S.chunk_hits(prepare_chunks(queries, q_id, params, encoder, cache_path), corpus.chunks, q_id, d_id, params)
+    best = R.best_documents(side, corpus, hits, q_id, d_id, n, params)
+    return corpus_scores(queries, corpus, q_id, d_id, params, encoder, cache_path) if best is None else best
+
+
 def score_columns(lex: Column, mh: Column, sem: Column, params: Params) -> list[Column]:
     final = S.blend(lex, mh, sem, params)
     return [F.round(lex, 3).alias("lex_score"), F.round(mh, 3).alias("minhash_score"),
@@ -122,13 +137,15 @@ def compare_corpus(queries: DataFrame, corpus: DataFrame | Prepared, q_id: str,
                    encoder: Encoder | None = None, corpus_cols: tuple[str, ...] = (),
                    cache_path: str | None = None) -> DataFrame:
     """Every query against every corpus document, ranked per query (A6), optionally
-    cut to the best ``top_n`` (A7); ``rank`` is the position within the query.
+    cut to the best ``top_n`` (A7, by rank join); ``rank`` is the position within the query.
 
     ``ai`` = ``ai_score`` rows of the queries (A9); ``corpus_cols`` are carried from the
     corpus (A8, e.g. a path or source column); ``cache_path`` routes every embedding
     through the content-addressed cache. A ``Prepared`` corpus is scored from its stored
     parts."""
-    sc = corpus_scores(queries, corpus, q_id, d_id, params, encoder, cache_path)
+    how = (queries, corpus, q_id, d_id, params)
+    sc = (corpus_scores(*how, encoder, cache_path) if top_n is None
+          else best_scores(*how, top_n, encoder, cache_path))
     out = sc.select(q_id, d_id, *score_columns(F.col("lex"), F.col("mh"), F.col("sem"), params), "n_hits")
     out = S.rank_top(out, q_id, "final_score", d_id, top_n) if top_n is not None else S.ordinal_rank(out, q_id, "final_score", d_id)
     if corpus_cols:
