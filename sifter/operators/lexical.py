@@ -12,6 +12,8 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,6 +21,7 @@ from sifter.functions import hashing
 from sifter.functions import text as T
 from sifter.operators.common import bounded_broadcast
 from sifter.params import Params
+from sifter.session import ensure_workers
 
 # Squared smooth-IDF weight of a term found in only one of the two documents of a
 # pair: idf = ln((1 + 2) / (1 + 1)) + 1. Terms in both have idf 1.
@@ -87,21 +90,38 @@ def minhash_signatures(processed: DataFrame, id_col: str, params: Params) -> Dat
     """``(id, n_tokens, sig ARRAY<BIGINT>)``; ``sig`` is NULL for a document without
     tokens.
 
-    Each distinct token is hashed once; the ``minhash_perms`` slot minima are one
-    aggregate with one ``min`` per slot (map-side partial aggregation, so the
-    shuffle carries at most one row per document and partition).
+    Each distinct token is hashed once, natively; the slot minima of a document are
+    numpy minima over its hashes, batch by batch, so nothing shuffles. One row per
+    input row: ids are expected to be unique.
     """
-    coeffs = hashing.minhash_coefficients(params.minhash_perms, params.minhash_seed)
-    toks = processed.select(
-        id_col, F.explode_outer(F.array_distinct(T.whitespace_tokens(F.col("processed")))).alias("token")
-    ).select(id_col, hashing.token_hash28(F.col("token")).alias("h"))
-    p = F.lit(hashing.MERSENNE_31)
-    h = F.col("h")
-    mins = [F.min((F.lit(a) * h + F.lit(b)) % p).alias(f"m{i}") for i, (a, b) in enumerate(coeffs)]
-    agg = toks.groupBy(id_col).agg(F.count("h").alias("n_tokens"), *mins)
-    return agg.select(id_col, "n_tokens",
-                      F.when(F.col("n_tokens") > 0, F.array(*[F.col(f"m{i}") for i in range(len(coeffs))]))
-                      .alias("sig"))
+    tokens = F.array_distinct(T.whitespace_tokens(F.col("processed")))
+    hashes = processed.select(id_col, F.coalesce(F.transform(tokens, hashing.token_hash28),
+                                                 F.array().cast("array<bigint>")).alias("_h"))
+    ensure_workers(processed.sparkSession)
+    return hashes.select(id_col, F.size("_h").cast("bigint").alias("n_tokens"), _slot_minima(params)("_h").alias("sig"))
+
+
+MINIMA_TOKENS = 1 << 13  # hashes of a text that meet all slots at once
+
+
+def _slot_minima(params: Params):
+    """Column function: the minima of ``(a*h + b) mod (2^31 - 1)`` per slot over a list of hashes,
+    NULL for an empty list."""
+    coeffs = np.array(hashing.minhash_coefficients(params.minhash_perms, params.minhash_seed), dtype=np.int64)
+
+    @F.pandas_udf("array<bigint>")
+    def minima(hashes: pd.Series) -> pd.Series:
+        a, b = coeffs[:, :1], coeffs[:, 1:]
+        out = []
+        for h in hashes:
+            best = None
+            for s in range(0, len(h), MINIMA_TOKENS):  # products stay below 2^59
+                part = ((a * np.asarray(h[s:s + MINIMA_TOKENS], dtype=np.int64) + b) % hashing.MERSENNE_31).min(axis=1)
+                best = part if best is None else np.minimum(best, part)
+            out.append(best)
+        return pd.Series(out, dtype=object)
+
+    return minima
 
 
 EMPTY_SLOT = -1  # marker slot of a document without tokens
