@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from sifter.functions import text as T
 from sifter.operators import aiscore as D
+from sifter.operators import boundaries as B
 from sifter.operators import cache as K
 from sifter.operators import candidates as LSH
 from sifter.operators import chunking as C
@@ -114,6 +115,15 @@ def q_sentence_lengths(spark, sf):
                     F.col("n_words").cast("long").alias("n_words")))
 
 
+def q_abbreviations(spark, sf):
+    a = B.abbreviations(materialize(B.word_counts(docs(spark, sf))))
+    return a.withColumn("score", F.round("score", 6))
+
+
+def q_split_sentences_learned(spark, sf):
+    return B.learned_sentences(docs(spark, sf), "doc_id", P)
+
+
 def q_content_keys(spark, sf):
     return K.content_keys(docs(spark, sf), K.model_id(P)).select("doc_id", "text_sha256", "cache_key")
 
@@ -416,6 +426,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "preprocess_text": q_preprocess_text,
     "split_sentences": q_split_sentences,
     "sentence_lengths": q_sentence_lengths,
+    "abbreviations": q_abbreviations,
+    "split_sentences_learned": q_split_sentences_learned,
     "content_keys": q_content_keys,
     "chunk_documents": q_chunk_documents,
     "chunk_stats": q_chunk_stats,

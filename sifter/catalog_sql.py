@@ -19,6 +19,51 @@ CU = "struct_pack(i := id, c := chunk_no)"  # a chunk's key
 MSG = "struct_pack(i := conv_id, t := turn)"  # a message's key
 DIM = P.embedding_dim
 
+# T8 by learned boundaries, restated: words with and without a final stop, then the rule's pieces.
+SPACE = "[@]".replace("@", T.WS)
+ABBREVIATIONS = (
+    r"""wtok AS (
+  SELECT lower(regexp_extract(x, '^[("''\[]*(\p{L}+(?:\.\p{L}+)*)(\.?)[,;:)"''\]]*$', 1)) AS word,
+         regexp_extract(x, '^[("''\[]*(\p{L}+(?:\.\p{L}+)*)(\.?)[,;:)"''\]]*$', 2) AS stop
+  FROM (SELECT unnest(string_split_regex(coalesce(text, ''), '@+')) AS x FROM documents) a)""".replace("@", SPACE),
+    """wcnt AS (SELECT word, count(*) AS n, count(*) FILTER (WHERE stop = '.') AS k FROM wtok WHERE word <> '' GROUP BY word)""",
+    """wall AS (SELECT CAST(sum(n) AS DOUBLE) AS tn, least(CAST(sum(k) AS DOUBLE) / CAST(sum(n) AS DOUBLE), 1 - 1e-9) AS p FROM wcnt)""",
+    """wsc AS (
+  SELECT word, n, k, length(replace(word, '.', '')) AS len, length(word) - length(replace(word, '.', '')) AS inn,
+         2 * (k * ln(CAST(0.99 AS DOUBLE)) + (n - k) * ln(1 - CAST(0.99 AS DOUBLE)) - k * ln(p) - (n - k) * ln(1 - p)) AS ratio
+  FROM wcnt, wall WHERE k > 0)""",
+    """abbr AS (SELECT * FROM (
+  SELECT word, n, k, ratio * exp(-CAST(len AS DOUBLE)) * (inn + 1) * pow(CAST(len AS DOUBLE), CAST(k - n AS DOUBLE)) AS score FROM wsc) a
+  WHERE score >= 0.3)""")
+BOUNDARIES = (
+    r"""lns AS (
+  SELECT doc_id, generate_subscripts(l, 1) AS line, unnest(l) AS x
+  FROM (SELECT doc_id, string_split_regex(coalesce(text, ''), '\n+') AS l FROM documents) a)""",
+    r"""cut AS (
+  SELECT doc_id, line, list_filter(list_transform(string_split(regexp_replace(x, '([.!?])@+', '\1' || chr(10), 'g'), chr(10)),
+         lambda y: regexp_replace(y, '^@+|@+$', '', 'g')), lambda y: y <> '') AS c FROM lns)""".replace("@", SPACE),
+    """pcs AS (SELECT doc_id, line, generate_subscripts(c, 1) AS piece, unnest(c) AS t FROM cut WHERE len(c) > 0)""",
+    r"""nxt AS (
+  SELECT *, regexp_extract(t, '(?:^|[("''\[@])(\p{L}+(?:\.\p{L}+)*)\.$', 1) AS lst,
+         regexp_extract(f, '^[("''\[]*(\p{L}+)', 1) AS fst
+  FROM (SELECT *, lead(t) OVER (PARTITION BY doc_id, line ORDER BY piece) AS f FROM pcs) a)""".replace("@", T.WS),
+    r"""mrk AS (
+  SELECT *, lower(lst) IN (SELECT word FROM abbr) OR regexp_matches(lst, '^\p{Lu}$') AS short FROM nxt)""",
+    """str AS (SELECT lower(fst) AS word, count(*) AS c FROM mrk WHERE f IS NOT NULL AND NOT short GROUP BY 1)""",
+    """stt AS (
+  SELECT word, CAST(c AS DOUBLE) AS c, CAST(n AS DOUBLE) AS n, tn AS t, CAST((SELECT sum(c) FROM str) AS DOUBLE) AS m
+  FROM str JOIN wcnt USING (word), wall)""",
+    """big AS (
+  SELECT word FROM stt WHERE c <= n AND n < t AND m < t AND c * t > n * m AND 2 * (
+    c * ln(c / m) + CASE WHEN m > c THEN (m - c) * ln(1 - c / m) ELSE 0 END
+    + CASE WHEN n > c THEN (n - c) * ln((n - c) / (t - m)) ELSE 0 END + CASE WHEN t - m > n - c THEN (t - m - n + c) * ln(1 - (n - c) / (t - m)) ELSE 0 END
+    - c * ln(n / t) - (m - c) * ln(1 - n / t) - (n - c) * ln(n / t) - (t - m - n + c) * ln(1 - n / t)) >= 30)""",
+    r"""opn AS (
+  SELECT *, f IS NOT NULL AND short AND NOT (lower(fst) IN (SELECT word FROM big) AND regexp_matches(fst, '^\p{Lu}')) AS o FROM mrk)""",
+    """beg AS (SELECT *, CASE WHEN lag(o) OVER (PARTITION BY doc_id ORDER BY line, piece) THEN 0 ELSE 1 END AS b FROM opn)""",
+    """sents AS (
+  SELECT doc_id, piece, t, CAST(sum(b) OVER (PARTITION BY doc_id ORDER BY line, piece) - 1 AS BIGINT) AS sent_no FROM beg)""")
+
 
 def _raw_tokens(text: str) -> str:
     return (f"list_transform(regexp_extract_all({normalize_expr(text)}, {s(T.TOKEN_RE)}), "
@@ -167,6 +212,9 @@ def oracle_sql() -> dict[str, str]:
         "SELECT id AS doc_id, CAST(i AS BIGINT) AS sent_no, sent FROM ds"
     q["sentence_lengths"] = with_(sents_cte("ds", "documents", "doc_id")) + \
         "SELECT id AS doc_id, CAST(i AS BIGINT) AS sent_no, CAST(wc AS BIGINT) AS n_words FROM ds"
+    q["abbreviations"] = with_(*ABBREVIATIONS) + "SELECT word, n, k, round(score, 6) AS score FROM abbr"
+    q["split_sentences_learned"] = with_(*ABBREVIATIONS, *BOUNDARIES) + (
+        "SELECT doc_id, sent_no, string_agg(t, ' ' ORDER BY piece) AS sent FROM sents GROUP BY doc_id, sent_no")
     q["content_keys"] = (f"SELECT doc_id, sha256(text) AS text_sha256, {s('emb:' + model_id(P) + ':')} || sha256(text) "
                          f"AS cache_key FROM documents")
     q["chunk_documents"] = with_rec(*CHUNKS_D) + \
