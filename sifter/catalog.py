@@ -28,6 +28,7 @@ from sifter.operators import kneser_ney as N
 from sifter.operators import lexical as L
 from sifter.operators import passages as G
 from sifter.operators import scoring as S
+from sifter.operators import svd as Z
 from sifter.operators import vectors as V
 from sifter.operators.common import by_key, materialize
 from sifter.params import DEFAULT, Params
@@ -363,6 +364,11 @@ def q_analyze_pairs(spark, sf):
                            "ai_detection.perplexity", "ai_detection.burstiness"))
 
 
+def q_svd_embedding(spark, sf):
+    d = docs(spark, sf)
+    return Z.encode(d, "doc_id", Z.fit(d, "doc_id"))
+
+
 # --------------------------------------------------------------------------- passages (F1)
 
 def _runs(spark, sf):
@@ -439,6 +445,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "minhash_lsh_candidates": q_minhash_lsh_candidates,
     "hash_embedding": q_hash_embedding,
     "mean_pool": q_mean_pool,
+    "svd_embedding": q_svd_embedding,
     "embed_with_cache": q_embed_with_cache,
     "normalize_vectors": q_normalize_vectors,
     "vector_topk": q_vector_topk,

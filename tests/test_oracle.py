@@ -11,7 +11,7 @@ from sifter.catalog import QUERIES
 from sifter.catalog_sql import oracle_sql
 
 TABLES = "documents embeddings benchmark labels conversations".split()
-NO_ORACLE = {"vector_topk_lsh", "vector_topk_ivf", "passage_fragments"}
+NO_ORACLE = {"vector_topk_lsh", "vector_topk_ivf", "passage_fragments", "svd_embedding"}
 
 
 @pytest.fixture(scope="module")
