@@ -34,6 +34,8 @@ from sifter.operators.common import by_key, materialize
 from sifter.params import DEFAULT, Params
 from sifter.plans import analysis as A
 from sifter.session import ship_package, shared_dir
+from sifter.sources import corpus as SC
+from sifter.sources import folder as SF
 
 P: Params = DEFAULT
 PAIR_MIN_LEX = 0.25  # pair mode takes all pairs of at least this lexical score or with a passage run
@@ -424,6 +426,32 @@ def q_corpus_catalog(spark, sf):
     return d.groupBy("source").agg(F.max("path").alias("path"))
 
 
+def _page_folder(spark, sf):
+    """All pages written out as files and loaded again: even ids as .txt, odd ones as .docx; every tenth page also has
+    a .docx of its address (the .txt comes later in path order and wins), every seventh a .pdf, which no extractor reads."""
+    pages = table(spark, sf, "pages").withColumn("name", F.format_string("%012d", "page_id"))
+    even = F.col("page_id") % 2 == 0
+    files = [pages.select("name", F.when(even, ".txt").otherwise(".docx").alias("suffix"), F.col("html").alias("text")),
+             pages.where("page_id % 10 = 0").select("name", F.lit(".docx").alias("suffix"), F.col("url").alias("text")),
+             pages.where("page_id % 7 = 0").select("name", F.lit(".pdf").alias("suffix"), F.col("url").alias("text"))]
+    folder = f"{shared_dir(spark)}/pages-{uuid.uuid4().hex}"
+    SF.register(spark)
+    files[0].unionByName(files[1]).unionByName(files[2]).write.format(SF.FORMAT).mode("append").save(folder)
+    return SF.load_folder(spark, folder)
+
+
+def q_folder_corpus(spark, sf):
+    corpus, quarantine = _page_folder(spark, sf)
+    suffix = F.lower(F.regexp_extract("path", r"(\.[^./]+)$", 1))
+    kept = corpus.select("name", suffix.alias("suffix"), F.length("text").cast("long").alias("n_chars"),
+                         F.md5("text").alias("text_md5"), F.lit(None).cast("string").alias("error"))
+    return kept.unionByName(quarantine.select("name", "suffix", "error"), allowMissingColumns=True)
+
+
+def q_folder_counts(spark, sf):
+    return SC.corpus_counts(_page_folder(spark, sf)[0])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "normalize_text": q_normalize_text,
     "tokenize": q_tokenize,
@@ -470,6 +498,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ai_probability": q_ai_probability,
     "corpus_counts": q_corpus_counts,
     "corpus_catalog": q_corpus_catalog,
+    "folder_corpus": q_folder_corpus,
+    "folder_counts": q_folder_counts,
     "cache_hits": q_cache_hits,
     "cache_misses": q_cache_misses,
 }

@@ -314,6 +314,18 @@ FROM pp LEFT JOIN aiq a ON a.id = pp.a_id"""
         "SELECT id.i AS conv_id, id.t AS turn, perplexity, burstiness, ai_probability, ai_label FROM ai"
     q["corpus_counts"] = "SELECT source, lang, count(*) AS n_docs FROM documents GROUP BY source, lang"
     q["corpus_catalog"] = "SELECT source, max(source || '/' || lpad(CAST(doc_id AS VARCHAR), 12, '0')) AS path FROM documents GROUP BY source"
+    # Stripped texts, of .docx files without blank lines; empty ones are no documents
+    pages = r"""WITH files AS (
+  SELECT lpad(CAST(page_id AS VARCHAR), 12, '0') AS name, page_id % 2 = 0 AS even, coalesce(html, '') AS html FROM pages),
+ texts AS (
+  SELECT name, CASE WHEN even THEN '.txt' ELSE '.docx' END AS suffix, regexp_replace(CASE WHEN even THEN html ELSE
+         array_to_string(list_filter(string_split(html, chr(10)), lambda y: regexp_replace(y, '@', '', 'g') <> ''), chr(10)) END, '@', '', 'g') AS text
+  FROM files) """.replace("@", T.STRIP_RE)
+    q["folder_corpus"] = pages + """
+SELECT name, suffix, length(text) AS n_chars, md5(text) AS text_md5, CAST(NULL AS VARCHAR) AS error FROM texts WHERE text <> ''
+UNION ALL
+SELECT lpad(CAST(page_id AS VARCHAR), 12, '0'), '.pdf', NULL, NULL, 'no PDF extractor configured' FROM pages WHERE page_id % 7 = 0"""
+    q["folder_counts"] = pages + "SELECT suffix, count(*) AS n_docs FROM texts WHERE text <> '' GROUP BY suffix"
     cached = "sha256(text) IN (SELECT sha256(text) FROM documents WHERE lang = 'en')"
     q["cache_hits"] = f"SELECT doc_id, sha256(text) AS text_sha256, CAST({DIM} AS BIGINT) AS dims FROM documents WHERE {cached}"
     q["cache_misses"] = f"SELECT DISTINCT sha256(text) AS text_sha256, length(text) AS n_chars FROM documents WHERE NOT {cached}"

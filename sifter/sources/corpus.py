@@ -63,13 +63,33 @@ def docx_text(data: bytes) -> str:
 
 
 def _file_parts(path: str) -> tuple[str, str]:
-    base = posixpath.basename(unquote(path))
+    return split_name(posixpath.basename(unquote(path)))
+
+
+def split_name(base: str) -> tuple[str, str]:
+    """A file's stem and its suffix in lower case."""
     stem, dot, ext = base.rpartition(".")
     if not dot or not stem:
         return base, ""
     return stem, "." + ext.lower()
 
 
+def extract_one(suffix: str, content: bytes, pdf_extractor: Callable[[bytes], str] | None = None) -> tuple[str | None, str | None]:
+    """S2-S5 for one file: (text, None) or (None, reason)."""
+    try:
+        if suffix == ".txt":
+            return txt_text(content), None
+        if suffix == ".docx":
+            return docx_text(content), None
+        if suffix == ".pdf":
+            if pdf_extractor is None:
+                return None, "no PDF extractor configured"
+            return (pdf_extractor(content) or "").strip(), None
+        return None, f"unsupported format: {suffix}"
+    except Exception as e:  # noqa: BLE001 - quarantined, not fatal
+        return None, f"{type(e).__name__}: {e}"
+
+
 def extract_files(pdf_extractor: Callable[[bytes], str] | None = None):
     """The ``mapInPandas`` function (S2-S5): (path, content) batches -> EXTRACTED rows."""
 
@@ -78,22 +98,7 @@ def extract_files(pdf_extractor: Callable[[bytes], str] | None = None):
             rows = []
             for path, content in zip(pdf["path"], pdf["content"]):
                 name, suffix = _file_parts(path)
-                text, err = None, None
-                try:
-                    if suffix == ".txt":
-                        text = txt_text(content)
-                    elif suffix == ".docx":
-                        text = docx_text(content)
-                    elif suffix == ".pdf":
-                        if pdf_extractor is None:
-                            err = "no PDF extractor configured"
-                        else:
-                            text = (pdf_extractor(content) or "").strip()
-                    else:
-                        err = f"unsupported format: {suffix}"
-                except Exception as e:  # noqa: BLE001 - quarantined, not fatal
-                    err = f"{type(e).__name__}: {e}"
-                rows.append((path, name, suffix, text, err))
+                rows.append((path, name, suffix, *extract_one(suffix, content, pdf_extractor)))
             yield pd.DataFrame(rows, columns=[f.name for f in EXTRACTED.fields])
 
     return run
@@ -114,7 +119,11 @@ def load_corpus(spark: SparkSession, folder: str,
     with non-empty text."""
     ensure_workers(spark)
     files = read_files(spark, folder)
-    extracted = materialize(files.mapInPandas(extract_files(pdf_extractor), EXTRACTED))  # each file is parsed once
+    return split_extracted(materialize(files.mapInPandas(extract_files(pdf_extractor), EXTRACTED)))  # each file is parsed once
+
+
+def split_extracted(extracted: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``load_corpus``'s two frames from EXTRACTED rows."""
     quarantine = extracted.where(F.col("error").isNotNull()).select("path", "name", "suffix", "error")
     ok = extracted.where(F.col("error").isNull() & F.col("text").isNotNull() & (F.col("text") != ""))
     last = ok.groupBy("name").agg(F.max("path").alias("path"))  # a common stem moves paths, not texts

@@ -10,7 +10,7 @@ from conftest import SF_SMALL
 from sifter.catalog import QUERIES
 from sifter.catalog_sql import oracle_sql
 
-TABLES = "documents embeddings benchmark labels conversations".split()
+TABLES = "documents embeddings pages benchmark labels conversations".split()
 NO_ORACLE = {"vector_topk_lsh", "vector_topk_ivf", "passage_fragments", "svd_embedding"}
 
 
