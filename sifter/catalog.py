@@ -33,6 +33,7 @@ from sifter.operators import vectors as V
 from sifter.operators.common import by_key, materialize
 from sifter.params import DEFAULT, Params
 from sifter.plans import analysis as A
+from sifter.plans import segments as SG
 from sifter.session import ship_package, shared_dir
 from sifter.sources import corpus as SC
 from sifter.sources import folder as SF
@@ -299,6 +300,18 @@ def q_prepared_top10(spark, sf):
     return _ranked(spark, sf, A.write_corpus(table(spark, sf, "documents"), "doc_id", P, path), 10)
 
 
+def q_appended_top10(spark, sf):
+    """Corpus mode over a corpus that grew: first the English documents and outdated texts of the others, then the
+    French ones are deleted, the others replaced and the French added again, then segments are merged."""
+    path, d = f"{shared_dir(spark)}/corpus-{uuid.uuid4().hex}", table(spark, sf, "documents")
+    english = F.coalesce(F.col("lang") == "en", F.lit(False))
+    SG.add(d.withColumn("text", F.when(english, F.col("text")).otherwise(F.col("source"))), "doc_id", P, path)
+    SG.delete(d.where("lang = 'fr'").select("doc_id"), "doc_id", path)
+    SG.add(d.where(~english), "doc_id", P, path)
+    SG.compact(spark, path, "doc_id")
+    return _ranked(spark, sf, SG.read_segments(spark, path, "doc_id"), 10)
+
+
 def q_analyze_corpus(spark, sf):
     return _corpus(spark, sf, None)
 
@@ -487,6 +500,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "analyze_corpus": q_analyze_corpus,
     "corpus_top10": q_corpus_top10,
     "prepared_top10": q_prepared_top10,
+    "appended_top10": q_appended_top10,
     "similar_fragments": q_similar_fragments,
     "top_fragments": q_top_fragments,
     "rerank_fragments": q_rerank_fragments,

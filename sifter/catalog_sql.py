@@ -274,6 +274,7 @@ WHERE rank <= {P.pair_search_k}"""
     q["analyze_corpus"] = with_rec(*CORPUS) + "SELECT * FROM ranked"
     q["corpus_top10"] = with_rec(*CORPUS) + "SELECT * FROM ranked WHERE rank <= 10"
     q["prepared_top10"] = q["corpus_top10"]
+    q["appended_top10"] = q["corpus_top10"]
     q["similar_fragments"] = with_rec(*PAIRS) + \
         ("SELECT a_id AS item_id, b_id AS doc_id, a_chunk, b_chunk, hit_rank, round(cosine, 6) + CAST(0.0 AS DOUBLE) AS cosine FROM f1")
     q["top_fragments"] = with_rec(*PAIRS, *_top("round(cosine, 3)")) + \
