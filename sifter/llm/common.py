@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator
 from typing import TypeVar
 
@@ -12,7 +11,8 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sifter.session import ensure_workers, shared_dir
+from sifter.operators.common import shared_path, written  # noqa: F401
+from sifter.session import ensure_workers
 
 #: Rows and bytes per Arrow batch: bound a worker's memory when texts are long.
 ARROW_ROWS = 1000
@@ -52,27 +52,6 @@ def release() -> None:
     pa.default_memory_pool().release_unused()
 
 
-def shared_path(spark: SparkSession, name: str) -> str:
-    """A new path below the folder that driver and executors share."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once as Parquet to the shared folder and read back: later jobs start
-    from the files, also after executors are lost. The shuffle files of the writing job
-    are removed when it ends."""
-    spark = df.sparkSession
-    path = shared_path(spark, name)
-    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(key, "false")
-    spark.conf.set(key, "true")
-    try:
-        df.write.parquet(path)
-    finally:
-        spark.conf.set(key, before)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def array_blocks(texts: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, pa.Array]]:
     """(first row, texts) runs of at most about ``limit`` bytes, at least one row each."""
     sizes = np.asarray(pa.compute.fill_null(pa.compute.binary_length(texts), 0), dtype=np.int64)

@@ -1,20 +1,20 @@
 """D1 with a better model: interpolated Kneser-Ney trigrams, counted and smoothed by Spark.
 
 A word's lower-order weight is the number of different words it follows, not how often it
-occurs. Each order's discount comes from its counts of counts. The model is kept in back-off
-form: the full probability of every seen trigram, pair and word, and a back-off weight for
-every context, so a scored trigram is looked up and backs off by left joins.
+occurs. Each order's discount comes from its counts of counts. The model is kept as counts of
+trigrams and pairs and a sum and back-off weight of every context, none of which needs a join;
+a scored trigram is looked up and its orders are put together by left joins.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sifter.operators.aiscore import lm_tokens
-from sifter.operators.common import bounded_broadcast
+from sifter.operators.common import bounded_broadcast, written
 from sifter.params import Params
 
 #: Stands twice before every text; no token looks like it.
@@ -25,64 +25,81 @@ LEAST_DISCOUNT, DEFAULT_DISCOUNT = 0.1, 0.5
 
 @dataclass(frozen=True)
 class KneserNey:
-    """trigrams (u, v, w, p3), contexts (u, v, b3), pairs (v, w, p2), words (v, b2), unigrams (w, p1)
-    and the probability of an unseen word."""
+    """Counts and back-off weights: trigrams (u, v, w, n3), contexts (u, v, sum3, b3), pairs (v, w, n2),
+    words (v, sum2, b2), unigrams (w, p1), the discounts ``d3`` and ``d2`` and the probability of an
+    unseen word."""
 
     trigrams: DataFrame
     contexts: DataFrame
     pairs: DataFrame
     words: DataFrame
     unigrams: DataFrame
+    d3: float
+    d2: float
     unseen: float
 
 
 def trigrams(df: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
     """(keys, u, v, w, n) of every row, one for each token."""
-    t = df.select(*keys, lm_tokens(F.col(text)).alias("t")).where("size(t) > 0")
-    padded = t.select(*keys, "t", F.size("t").alias("n"), F.concat(F.array(F.lit(START), F.lit(START)), "t").alias("s"))
-    rows = padded.select(*keys, F.explode_outer(F.arrays_zip(F.slice("s", F.lit(1), F.col("n")).alias("u"), F.slice("s", F.lit(2), F.col("n")).alias("v"),
-                                                             F.col("t").alias("w"))).alias("g"))
-    return rows.groupBy(*keys, F.col("g.u").alias("u"), F.col("g.v").alias("v"), F.col("g.w").alias("w")).agg(F.count(F.lit(1)).alias("n"))
 
+    def grams(t: Column) -> Column:
+        s = F.concat(F.array(F.lit(START), F.lit(START)), t)
+        return F.arrays_zip(F.slice(s, F.lit(1), F.size(t)).alias("u"), F.slice(s, F.lit(2), F.size(t)).alias("v"), t.alias("w"))
 
-def _discount(counts: DataFrame, n: str) -> float:
-    one, two = counts.agg(F.count_if(F.col(n) == 1), F.count_if(F.col(n) == 2)).first()
+    # the tokens are let-bound, so each text is cut once
+    rows = df.select(*keys, F.explode_outer(F.transform(F.array(lm_tokens(F.col(text))), grams)[0]).alias("g"))
+    u, v, w = (F.col("g").getField(i).alias(i) for i in "uvw")
+    return rows.where(F.col("g").isNotNull()).select(*keys, u, v, w).groupBy(*keys, "u", "v", "w").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _discount(one: int, two: int) -> float:
     return max(LEAST_DISCOUNT, one / (one + 2 * two)) if one + two else DEFAULT_DISCOUNT
 
 
-def _order(counts: DataFrame, context: list[str], n: str, back: str) -> tuple[DataFrame, DataFrame]:
-    """(counts with ``own``, the discounted share of each, and contexts with the back-off weight)."""
-    d = F.lit(_discount(counts, n))
-    sums = counts.groupBy(*context).agg(F.sum(n).alias("_sum"), F.count(F.lit(1)).alias("_kinds"))
-    contexts = sums.select(*context, (d * F.col("_kinds") / F.col("_sum")).alias(back), "_sum")
-    return counts.join(contexts, context).withColumn("own", (F.col(n) - d) / F.col("_sum")).drop("_sum"), contexts.drop("_sum")
+def _counts_of_counts(counts: DataFrame, n: str) -> tuple[int, int, int, int]:
+    """Rows with a count of 1 and of 2, all rows, and the sum of counts."""
+    return counts.agg(F.count_if(F.col(n) == 1), F.count_if(F.col(n) == 2), F.count(F.lit(1)), F.coalesce(F.sum(n), F.lit(0))).first()
+
+
+def _contexts(counts: DataFrame, context: list[str], n: str, d: float, total: str, back: str) -> DataFrame:
+    sums = counts.groupBy(*context).agg(F.sum(n).alias(total), F.count(F.lit(1)).alias("_kinds"))
+    return sums.select(*context, total, (F.lit(d) * F.col("_kinds") / F.col(total)).alias(back))
 
 
 def fit(train: DataFrame, params: Params, text: str = "text") -> KneserNey:
-    """Counts, continuation counts and back-off tables of ``train``'s texts; null and token-less
-    texts add nothing. A model of an empty table gives every word the same probability."""
-    c3 = trigrams(train, [], text)
-    c2 = c3.groupBy("v", "w").agg(F.count(F.lit(1)).alias("n"))  # different words before each pair
-    c1 = c2.groupBy("w").agg(F.count(F.lit(1)).alias("n"))
-    total, kinds = c1.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    d1 = _discount(c1, "n")
+    """Counts, continuation counts and back-off weights of ``train``'s texts; null and token-less
+    texts add nothing. A model of an empty table gives every word the same probability.
+
+    Trigrams and pairs are counted once and written to the shared folder, so the texts are cut and
+    shuffled once whatever reads the counts."""
+    c3 = written(trigrams(train, [], text).withColumnRenamed("n", "n3"), "kneser-ney-trigrams")
+    # different words before each pair
+    c2 = written(c3.groupBy("v", "w").agg(F.count(F.lit(1)).alias("n2")), "kneser-ney-pairs")
+    c1 = written(c2.groupBy("w").agg(F.count(F.lit(1)).alias("n")), "kneser-ney-words")
+    one, two, kinds, total = _counts_of_counts(c1, "n")
+    d1 = _discount(one, two)
+    d2, d3 = (_discount(*_counts_of_counts(c, n)[:2]) for c, n in ((c2, "n2"), (c3, "n3")))
     unseen = d1 * kinds / total / (kinds + 1) if total else 1.0
     unigrams = c1.select("w", ((F.col("n") - d1) / F.lit(max(1, total)) + F.lit(unseen)).alias("p1"))
-    own2, words = _order(c2, ["v"], "n", "b2")
-    pairs = own2.join(bounded_broadcast(unigrams, params.broadcast_max_rows)[0], "w").select("v", "w", (F.col("own") + F.col("b2") * F.col("p1")).alias("p2"))
-    own3, contexts = _order(c3, ["u", "v"], "n", "b3")
-    tri = own3.join(pairs, ["v", "w"]).select("u", "v", "w", (F.col("own") + F.col("b3") * F.col("p2")).alias("p3"))
-    return KneserNey(tri, contexts, pairs, words, unigrams, float(unseen))
+    return KneserNey(c3, _contexts(c3, ["u", "v"], "n3", d3, "sum3", "b3"), c2, _contexts(c2, ["v"], "n2", d2, "sum2", "b2"),
+                     unigrams, d3, d2, float(unseen))
 
 
 def probabilities(rows: DataFrame, model: KneserNey, params: Params) -> DataFrame:
-    """Adds ``p`` to rows with u, v and w. The tables with a row a word are broadcast when they
-    are small, as their keys are the hot ones."""
+    """Adds ``p`` to rows with u, v and w: the discounted share of the trigram, of the pair and the
+    word's probability, each weighted by the back-off before it. The tables with a row a word are
+    broadcast when they are small, as their keys are the hot ones. The rows are written after each
+    of the large joins, so the shuffle files of one are gone before the next."""
     words, unigrams = (bounded_broadcast(t, params.broadcast_max_rows)[0] for t in (model.words, model.unigrams))
-    found = (rows.join(model.trigrams, ["u", "v", "w"], "left").join(model.contexts, ["u", "v"], "left")
-             .join(model.pairs, ["v", "w"], "left").join(words, "v", "left").join(unigrams, "w", "left"))
-    low = F.coalesce("b2", F.lit(1.0)) * F.coalesce("p1", F.lit(model.unseen))
-    p = F.coalesce("p3", F.coalesce("b3", F.lit(1.0)) * F.coalesce("p2", low))
+    found = written(rows.join(model.trigrams, ["u", "v", "w"], "left"), "kneser-ney-scored")
+    found = written(found.join(model.contexts, ["u", "v"], "left"), "kneser-ney-scored")
+    found = found.join(model.pairs, ["v", "w"], "left").join(words, "v", "left").join(unigrams, "w", "left")
+
+    def own(n: str, d: float, total: str) -> Column:
+        return F.coalesce((F.col(n) - F.lit(d)) / F.col(total), F.lit(0.0))
+
+    p2 = own("n2", model.d2, "sum2") + F.coalesce("b2", F.lit(1.0)) * F.coalesce("p1", F.lit(model.unseen))
+    p = own("n3", model.d3, "sum3") + F.coalesce("b3", F.lit(1.0)) * p2
     return found.select(*rows.columns, p.alias("p"))
 
 

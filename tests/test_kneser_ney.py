@@ -69,3 +69,12 @@ def test_model_of_an_empty_table(spark):
     model = N.fit(none, DEFAULT)
     got = N.perplexity(spark.createDataFrame([(1, "any words")], "i long, text string"), ["i"], model, DEFAULT).collect()
     assert got[0].perplexity == pytest.approx(1)
+
+
+def test_texts_are_cut_and_shuffled_once(spark):
+    train = spark.createDataFrame([(t,) for t in TEXTS], "text string")
+    model = N.fit(train, DEFAULT)
+    rows = spark.createDataFrame([("the", "cat", "sat")], "u string, v string, w string")
+    for df in (model.trigrams, model.contexts, model.pairs, model.words, model.unigrams, N.probabilities(rows, model, DEFAULT)):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert "regexp_extract_all" not in plan and plan.count("Join") <= 3
