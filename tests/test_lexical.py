@@ -95,3 +95,11 @@ def test_lemma_dictionary(spark, params):
                                 "token string, lemma string")
     got = {r.id: r.processed for r in L.processed_with_dictionary(docs, "id", dic, params).collect()}
     assert got == {1: "student learn nlp datum science", 2: ""}
+
+
+def test_jaccard_preprocesses_each_side_once(spark, params):
+    q = L.with_processed(spark.createDataFrame([(1, "red river stones"), (2, None), (3, "")], "q long, text string"), params)
+    d = L.with_processed(spark.createDataFrame([(7, "red river red banks"), (8, "river"), (9, None), (10, "the")], "d long, text string"), params)
+    j = L.jaccard_similarity(q.select("q", "processed"), d.select("d", "processed"), "q", "d", params)
+    assert {(r.q, r.d): (r.shared, round(r.jaccard, 9)) for r in j.collect()} == {(1, 7): (2, 0.5), (1, 8): (1, round(1 / 3, 9))}
+    assert j._jdf.queryExecution().optimizedPlan().toString().count("array_distinct") == 2
