@@ -52,3 +52,34 @@ def test_no_stops_no_rows_and_a_very_long_text(spark, params):
     sents = B.learned_sentences(long, "id", params)
     assert sents.count() == 3 * 120 * 60
     assert sents.where("sent rlike '(Dr|Prof|fig)[.]$'").count() == 0
+
+
+def test_blanks_are_the_whitespace_of_the_splitter(spark):
+    from pyspark.sql import functions as F
+
+    from sifter.functions import text as T
+
+    assert B.BLANKS == "".join(c for c in map(chr, range(0x110000)) if c.isspace())
+    row = spark.createDataFrame([(c,) for c in B.BLANKS], "c string").agg(F.min(F.col("c").rlike(f"^[{T.WS}]$"))).first()
+    assert row[0]
+
+
+def test_words_are_counted_across_all_whitespace(spark):
+    texts = ["a b\tc.  c.\n\nB, b　(c.)", " a\r\na ", "", None, "a.b. x1  "]
+    got = {r.word: (r.n, r.k) for r in B.word_counts(frame(spark, texts)).collect()}
+    assert got == {"a": (3, 0), "b": (3, 0), "c": (3, 3), "a.b": (1, 1)}
+
+
+def test_documents_are_split_in_their_rows_and_long_lists_give_the_same(spark, params, monkeypatch):
+    odd = ["  Dr. Weber came. \t He left.\r\n　The Dr. Novak? Yes. ", "x.  .  Dr.\tJ. Lind said (J. Lind). Prof. The end.",
+           "\n\n", "Dr. ", "see (fig. 3). A. B. C. D.", "ends in J.\nDr.\n. The Dr.! No", "Dr. Weber came with Prof. Lind. e.g. Dr. X."]
+    docs = frame(spark, [*odd, *corpus(), None, ""])
+    found = B.learned_sentences(docs, "id", params)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window" not in plan  # no text is shuffled
+    rows = sorted(map(tuple, found.collect()))
+    monkeypatch.setattr(B, "LIST_WORDS", 0)
+    joined = B.learned_sentences(docs, "id", params)
+    assert "Window" in joined._jdf.queryExecution().executedPlan().toString()
+    assert rows == sorted(map(tuple, joined.collect())) and found.dtypes == joined.dtypes
+    assert [s for i, _, s in rows if i == 0] == ["Dr. Weber came.", "He left.", "The Dr. Novak?", "Yes."]
