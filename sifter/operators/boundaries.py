@@ -46,7 +46,6 @@ def _likelihood(k: Column, n: Column, p: Column) -> Column:
 
 def word_counts(docs: DataFrame) -> DataFrame:
     """``(word, n, k)``: occurrences of each lower-cased word, and those with a full stop."""
-    # outer generators, here and below: a plain one makes the optimizer infer a filter that splits the text once more
     runs = docs.select(F.explode_outer(F.split("text", " ")).alias("run")).groupBy("run").agg(F.count(F.lit(1)).alias("_n"))
     tokens = runs.select(F.explode_outer(F.split("run", f"[{T.WS}]+")).alias("token"), "_n")
     return (tokens.select(F.lower(F.regexp_extract("token", TOKEN_RE, 1)).alias("word"),
